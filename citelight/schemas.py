@@ -1,133 +1,161 @@
-"""Explicit schemas: payloads as landed, raw and report tables."""
+"""Explicit schemas: payloads as landed, landing tables, built tables."""
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
-
-
-def _schema(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
-
-
-# --- payloads -----------------------------------------------------------------------------
-
-_STAMP = "struct<_seconds: bigint, _nanoseconds: bigint>"
-
-BRANDS = _schema(
-    "data struct<brands: array<struct<id: string, name: string, url: string,"
-    " operationalSearchTerms: array<struct<searchTermId: string, query: string, addedAt: string>>>>>"
-)
-
-SEARCH_TERMS = _schema(
-    "data struct<searchTerms: array<struct<id: string, term: string, aiSearchEngines: array<string>,"
-    " status: string, executionsAmount: bigint, `interval`: string, region: string, createdAt: string,"
-    " lastExecutionTime: string, nextScheduledExecutionTime: string,"
-    " searchTermTopicRef: struct<id: string, name: string>, tags: array<string>>>>"
-)
-
-_MEASURES = (
-    "name: string, visibilityScore: double, avgSentiment: double, avgRank: double,"
-    " latestRank: bigint, detectionRate: double, top3: double, citationCount: bigint, appearances: bigint"
-)
-_BRAND = f"struct<{_MEASURES}, variations: array<struct<{_MEASURES}>>>"
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    DateType,
+    DoubleType,
+    LongType,
+    MapType,
+    StringType,
+    StructType,
+    TimestampType,
+)
+
+STRING, LONG, DOUBLE, BOOLEAN = StringType(), LongType(), DoubleType(), BooleanType()
+_KINDS = {
+    "string": STRING, "bigint": LONG, "double": DOUBLE, "boolean": BOOLEAN,
+    "date": DateType(), "timestamp": TimestampType(),
+}
 
-TERM_REPORT = _schema(
-    "data struct<searchTerms: array<struct<searchTermId: string, query: string, aiSearchEngines: array<string>,"
-    " topic: struct<id: string, name: string>, lastSnapshotAt: string,"
-    f" ownBrand: {_BRAND}, competitors: array<{_BRAND}>,"
-    " answerTexts: array<struct<executionId: string, executedAt: string, engine: string, answerText: string>>>>>"
-)
 
-_DOMAIN = "struct<domain: string, occurrences: bigint, urls: array<struct<url: string, occurrences: bigint>>>"
+def _struct(**fields: DataType) -> StructType:
+    schema = StructType()
+    for name, kind in fields.items():
+        schema = schema.add(name, kind)
+    return schema
 
-CITATIONS = _schema(
-    "data struct<domainSummary: struct<"
-    f"topDomainsOverall: array<{_DOMAIN}>,"
-    f" topDomainsByEngine: array<struct<engineId: string, domains: array<{_DOMAIN}>>>,"
-    " topDomainsByQuery: array<struct<query: string, searchTermIds: array<string>,"
-    f" engines: array<struct<engineId: string, domains: array<{_DOMAIN}>>>>>,"
-    f" topDomainsByOwnBrandCitations: array<{_DOMAIN}>,"
-    f" topDomainsByCompetitor: array<struct<brandName: string, occurrences: bigint, domains: array<{_DOMAIN}>>>>,"
-    " paginationInfo: struct<totalCount: bigint, returnedCount: bigint, citationsCapped: boolean,"
-    " brandsCapped: boolean, maxCitations: bigint, maxBrands: bigint>>"
-)
 
-TOPICS = _schema(
-    "data struct<topics: array<struct<id: string, name: string, searchTermIds: array<string>,"
-    f" createdAt: {_STAMP}, updatedAt: {_STAMP}>>>"
-)
+def _table(columns: str) -> StructType:
+    """``"a string, b bigint"`` as a schema."""
+    return _struct(**{name: _KINDS[kind] for name, kind in (c.split() for c in columns.split(","))})
 
-_SERIES_FIELDS = (
-    "visibilityScore: array<double>, sentiment: array<double>, avgPosition: array<double>,"
-    " detectionRate: array<double>, top3: array<double>, mentions: array<bigint>, citations: array<bigint>,"
-    " brandNotFound: array<boolean>, timestamps: array<string>"
-)
-_SERIES = f"struct<{_SERIES_FIELDS}>"
-_COMPETITOR_SERIES = (
-    "struct<timestamps: array<string>, competitors: array<struct<name: string, isOwnBrand: boolean,"
-    f" metrics: {_SERIES}>>>"
-)
 
+def _payload(**data: DataType) -> StructType:
+    return _struct(data=_struct(**data))
 
-def _periods(kind: str) -> str:
-    return f"struct<weekly: {kind}, daily: {kind}, monthly: {kind}, hourly: {kind}>"
 
+# --- payloads -----------------------------------------------------------------------------
 
-_TOPIC_SERIES = f"array<struct<topicId: string, topicName: string, {_SERIES_FIELDS}>>"
-_ENGINE_SERIES = f"array<struct<engineId: string, engineName: string, {_SERIES_FIELDS}>>"
+TEXTS = ArrayType(STRING)
+_NAMED = {"id": STRING, "name": STRING}
+_STAMP = _struct(_seconds=LONG, _nanoseconds=LONG)
 
-REPORT = _schema(
-    "data struct<ownBrandMetrics: struct<name: string,"
-    f" historicalData: {_periods(_SERIES)}, topicMetricsData: {_periods(_TOPIC_SERIES)},"
-    f" engineMetricsData: {_periods(_ENGINE_SERIES)}>,"
-    " competitorMetrics: array<struct<name: string, isOwnBrand: boolean, latestValue: double, trend: double,"
-    " variations: array<string>, visibilityScore: double, latestRank: double, avgRank: double,"
-    " avgSentiment: double, appearances: bigint, citationCount: bigint, detectionRate: double, top3: double>>,"
-    f" competitorTimeSeriesData: {_periods(_COMPETITOR_SERIES)}>"
-)
+BRANDS = _payload(brands=ArrayType(_struct(
+    **_NAMED, url=STRING,
+    operationalSearchTerms=ArrayType(_struct(searchTermId=STRING, query=STRING, addedAt=STRING)),
+)))
 
-_KEYWORDS = "map<string, struct<count: bigint, executionIds: array<string>, timestamps: array<string>>>"
-_SOURCE_KEYWORDS = (
-    f"struct<positive: {_KEYWORDS}, neutral: {_KEYWORDS}, negative: {_KEYWORDS},"
-    f" byEngine: map<string, struct<positive: {_KEYWORDS}, neutral: {_KEYWORDS}, negative: {_KEYWORDS}>>>"
-)
-_ENGINE_SENTIMENT = "map<string, struct<sum: bigint, count: bigint, avg: double>>"
+SEARCH_TERMS = _payload(searchTerms=ArrayType(_struct(
+    id=STRING, term=STRING, aiSearchEngines=TEXTS, status=STRING, executionsAmount=LONG, interval=STRING,
+    region=STRING, createdAt=STRING, lastExecutionTime=STRING, nextScheduledExecutionTime=STRING,
+    searchTermTopicRef=_struct(**_NAMED), tags=TEXTS,
+)))
 
-SENTIMENT = _schema(
-    "data struct<brandSentiments: array<struct<name: string, isOwnBrand: boolean, totalSentimentScore: bigint,"
-    " sentimentCount: bigint, executionCount: bigint, nameVariations: array<string>,"
-    f" positiveKeywords: {_KEYWORDS}, neutralKeywords: {_KEYWORDS}, negativeKeywords: {_KEYWORDS},"
-    f" webGroundingKeywords: {_SOURCE_KEYWORDS}, trainingDataKeywords: {_SOURCE_KEYWORDS},"
-    f" webGroundingSentimentByEngine: {_ENGINE_SENTIMENT},"
-    f" trainingDataSentimentByEngine: {_ENGINE_SENTIMENT}>>>"
-)
+_MEASURES = {
+    "name": STRING, "visibilityScore": DOUBLE, "avgSentiment": DOUBLE, "avgRank": DOUBLE, "latestRank": LONG,
+    "detectionRate": DOUBLE, "top3": DOUBLE, "citationCount": LONG, "appearances": LONG,
+}
+_BRAND = _struct(**_MEASURES, variations=ArrayType(_struct(**_MEASURES)))
+
+TERM_REPORT = _payload(searchTerms=ArrayType(_struct(
+    searchTermId=STRING, query=STRING, aiSearchEngines=TEXTS, topic=_struct(**_NAMED), lastSnapshotAt=STRING,
+    ownBrand=_BRAND, competitors=ArrayType(_BRAND),
+    answerTexts=ArrayType(_struct(executionId=STRING, executedAt=STRING, engine=STRING, answerText=STRING)),
+)))
+
+_DOMAINS = ArrayType(_struct(
+    domain=STRING, occurrences=LONG, urls=ArrayType(_struct(url=STRING, occurrences=LONG))
+))
+_ENGINE_DOMAINS = ArrayType(_struct(engineId=STRING, domains=_DOMAINS))
+
+CITATIONS = _payload(
+    domainSummary=_struct(
+        topDomainsOverall=_DOMAINS,
+        topDomainsByEngine=_ENGINE_DOMAINS,
+        topDomainsByQuery=ArrayType(_struct(query=STRING, searchTermIds=TEXTS, engines=_ENGINE_DOMAINS)),
+        topDomainsByOwnBrandCitations=_DOMAINS,
+        topDomainsByCompetitor=ArrayType(_struct(brandName=STRING, occurrences=LONG, domains=_DOMAINS)),
+    ),
+    paginationInfo=_struct(
+        totalCount=LONG, returnedCount=LONG, citationsCapped=BOOLEAN, brandsCapped=BOOLEAN, maxCitations=LONG,
+        maxBrands=LONG,
+    ),
+)
+
+TOPICS = _payload(topics=ArrayType(_struct(**_NAMED, searchTermIds=TEXTS, createdAt=_STAMP, updatedAt=_STAMP)))
+
+_DOUBLES, _LONGS = ArrayType(DOUBLE), ArrayType(LONG)
+_SERIES_FIELDS = {
+    "visibilityScore": _DOUBLES, "sentiment": _DOUBLES, "avgPosition": _DOUBLES, "detectionRate": _DOUBLES,
+    "top3": _DOUBLES, "mentions": _LONGS, "citations": _LONGS, "brandNotFound": ArrayType(BOOLEAN),
+    "timestamps": TEXTS,
+}
+_SERIES = _struct(**_SERIES_FIELDS)
+
+
+def _periods(kind: DataType) -> StructType:
+    return _struct(weekly=kind, daily=kind, monthly=kind, hourly=kind)
+
+
+REPORT = _payload(
+    ownBrandMetrics=_struct(
+        name=STRING,
+        historicalData=_periods(_SERIES),
+        topicMetricsData=_periods(ArrayType(_struct(topicId=STRING, topicName=STRING, **_SERIES_FIELDS))),
+        engineMetricsData=_periods(ArrayType(_struct(engineId=STRING, engineName=STRING, **_SERIES_FIELDS))),
+    ),
+    competitorMetrics=ArrayType(_struct(
+        name=STRING, isOwnBrand=BOOLEAN, latestValue=DOUBLE, trend=DOUBLE, variations=TEXTS,
+        visibilityScore=DOUBLE, latestRank=DOUBLE, avgRank=DOUBLE, avgSentiment=DOUBLE, appearances=LONG,
+        citationCount=LONG, detectionRate=DOUBLE, top3=DOUBLE,
+    )),
+    competitorTimeSeriesData=_periods(_struct(
+        timestamps=TEXTS, competitors=ArrayType(_struct(name=STRING, isOwnBrand=BOOLEAN, metrics=_SERIES)),
+    )),
+)
+
+_KEYWORDS = MapType(STRING, _struct(count=LONG, executionIds=TEXTS, timestamps=TEXTS))
+_POLAR = {"positive": _KEYWORDS, "neutral": _KEYWORDS, "negative": _KEYWORDS}
+_SOURCE_KEYWORDS = _struct(**_POLAR, byEngine=MapType(STRING, _struct(**_POLAR)))
+_ENGINE_SENTIMENT = MapType(STRING, _struct(sum=LONG, count=LONG, avg=DOUBLE))
+
+SENTIMENT = _payload(brandSentiments=ArrayType(_struct(
+    name=STRING, isOwnBrand=BOOLEAN, totalSentimentScore=LONG, sentimentCount=LONG, executionCount=LONG,
+    nameVariations=TEXTS, positiveKeywords=_KEYWORDS, neutralKeywords=_KEYWORDS, negativeKeywords=_KEYWORDS,
+    webGroundingKeywords=_SOURCE_KEYWORDS, trainingDataKeywords=_SOURCE_KEYWORDS,
+    webGroundingSentimentByEngine=_ENGINE_SENTIMENT, trainingDataSentimentByEngine=_ENGINE_SENTIMENT,
+)))
 
 # --- landing tables -----------------------------------------------------------------------
 
-RAW_BRANDS = _schema(
+RAW_BRANDS = _table(
     "brand_id string, name string, domain string, is_own_brand boolean, etl_loaded_at timestamp"
 )
-RAW_SEARCH_TERMS = _schema(
+RAW_SEARCH_TERMS = _table(
     "brand_id string, search_term_id string, query string, engine string, topic_id string, topic_name string,"
-    " region string, `interval` string, tags string, status string, created_at timestamp,"
+    " region string, interval string, tags string, status string, created_at timestamp,"
     " last_execution_time timestamp, next_execution_time timestamp, executions_amount bigint,"
     " etl_loaded_at timestamp"
 )
-RAW_BRAND_SNAPSHOTS = _schema(
+RAW_BRAND_SNAPSHOTS = _table(
     "brand_id string, search_term_id string, engine string, topic_id string, topic_name string,"
     " last_snapshot_at timestamp, brand_name string, is_own_brand boolean, visibility_score double,"
     " avg_sentiment double, avg_rank double, latest_rank bigint, detection_rate double, top3_rate double,"
     " citation_count bigint, appearances bigint, etl_loaded_at timestamp"
 )
-RAW_ANSWER_TEXTS = _schema(
+RAW_ANSWER_TEXTS = _table(
     "brand_id string, search_term_id string, execution_id string, executed_at timestamp, engine string,"
     " answer_text string, etl_loaded_at timestamp"
 )
-RAW_CITATIONS = _schema(
+RAW_CITATIONS = _table(
     "brand_id string, search_term_id string, query string, engine string, domain string, url string,"
     " occurrences bigint, etl_loaded_at timestamp"
 )
-REPORT_TABLE = _schema(
+REPORT_TABLE = _table(
     "unique_row_id string, business_key string, owning_brand_id string, topic_id string, topic_name string,"
     " snapshot_time timestamp, snapshot_date date, brand_name string, is_own_brand boolean,"
     " visibility_score double, sentiment double, avg_position double, detection_rate double, top3 double,"
@@ -150,43 +178,43 @@ _METRICS = (
     " top3_rate double, citation_count bigint, appearances bigint"
 )
 
-L1_DIM_BRANDS = _schema(
+L1_DIM_BRANDS = _table(
     "brand_id string, name string, domain string, is_own_brand boolean, is_active boolean, updated_at timestamp"
 )
-L1_DIM_SEARCH_TERMS = _schema(
+L1_DIM_SEARCH_TERMS = _table(
     "search_term_id string, brand_id string, query string, engine string, topic_id string, topic_name string,"
-    " tags string, region string, `interval` string, is_active boolean, created_at timestamp,"
+    " tags string, region string, interval string, is_active boolean, created_at timestamp,"
     " last_execution_time timestamp, next_execution_time timestamp, updated_at timestamp"
 )
-L1_FACT_SNAPSHOTS = _schema(
+L1_FACT_SNAPSHOTS = _table(
     "snapshot_week string, snapshot_date date, search_term_id string, brand_name string, brand_id string,"
     f" is_own_brand boolean, topic_id string, engine string, {_METRICS}, ai_share_of_voice double"
 )
-L1_FACT_CITATIONS = _schema(
+L1_FACT_CITATIONS = _table(
     "snapshot_week string, snapshot_date date, search_term_id string, brand_id string, engine string,"
     " domain string, url string, occurrences bigint"
 )
-L1_FACT_ANSWER_TEXTS = _schema(
+L1_FACT_ANSWER_TEXTS = _table(
     "execution_id string, search_term_id string, snapshot_week string, executed_at timestamp, engine string,"
     " answer_text string"
 )
-L2_SNAPSHOTS = _schema(
+L2_SNAPSHOTS = _table(
     "snapshot_week string, snapshot_date date, search_term_id string, query string, region string,"
     " refresh_interval string, is_search_term_active boolean, last_execution_time timestamp,"
     " next_execution_time timestamp, topic_id string, topic_name string, tags string, engine string,"
     f" owning_brand_id string, brand_name string, brand_id string, is_own_brand boolean, {_METRICS},"
     " ai_share_of_voice double"
 )
-L2_SEARCH_TERM_TAGS = _schema(
+L2_SEARCH_TERM_TAGS = _table(
     "search_term_id string, brand_id string, topic_id string, topic_name string, engine string, query string,"
     " tag string"
 )
-L2_CITATIONS = _schema(
+L2_CITATIONS = _table(
     "snapshot_week string, snapshot_date date, search_term_id string, query string, topic_id string,"
     " topic_name string, tags string, brand_id string, brand_name string, engine string, domain string,"
     " url string, occurrences bigint"
 )
-L2_ANSWER_TEXTS = _schema(
+L2_ANSWER_TEXTS = _table(
     "execution_id string, snapshot_week string, executed_at timestamp, search_term_id string, query string,"
     " topic_id string, topic_name string, tags string, engine string, answer_text string"
 )
@@ -210,25 +238,25 @@ TABLES = {**RAW_TABLES, **DIMENSIONS, **FACTS}
 
 # --- tables loaded by date ----------------------------------------------------------------
 
-DATED_BRAND_SNAPSHOTS = _schema(
+DATED_BRAND_SNAPSHOTS = _table(
     "snapshot_date date, snapshot_week string, search_term_id string, owning_brand_id string,"
     f" brand_name string, is_own_brand boolean, brand_id string, {_METRICS}, engine string, topic_id string,"
     " last_snapshot_at timestamp, loaded_at timestamp"
 )
-DATED_CITATIONS = _schema(
+DATED_CITATIONS = _table(
     "snapshot_date date, snapshot_week string, brand_id string, search_term_id string, engine string,"
     " domain string, url string, occurrences bigint, loaded_at timestamp"
 )
-DATED_ANSWER_TEXTS = _schema(
+DATED_ANSWER_TEXTS = _table(
     "execution_id string, search_term_id string, executed_at timestamp, engine string, answer_text string,"
     " loaded_at timestamp"
 )
-CURRENT_BRANDS = _schema(
+CURRENT_BRANDS = _table(
     "brand_id string, name string, domain string, is_own_brand boolean, is_active boolean, loaded_at timestamp"
 )
-CURRENT_SEARCH_TERMS = _schema(
+CURRENT_SEARCH_TERMS = _table(
     "search_term_id string, brand_id string, query string, topic_id string, topic_name string, engine string,"
-    " region string, `interval` string, tags string, is_active boolean, loaded_at timestamp"
+    " region string, interval string, tags string, is_active boolean, loaded_at timestamp"
 )
 
 # Columns that must never be NULL (checked by plans.quality).

@@ -16,7 +16,8 @@ from pyspark.sql.types import StringType, StructType
 CORRUPT = "_corrupt_record"
 
 
-def _with_corrupt(schema: StructType, parameters: Sequence[str] = ()) -> StructType:
+def payload_schema(schema: StructType, parameters: Sequence[str] = ()) -> StructType:
+    """The document's schema with the corrupt-record column and the request parameters."""
     full = StructType(list(schema.fields)).add(CORRUPT, StringType())
     for name in parameters:
         full = full.add(name, StringType())
@@ -28,7 +29,7 @@ def read_payloads(
 ) -> DataFrame:
     """Payload files below ``path``: the request parameters, ``data`` and ``_corrupt_record``."""
     return (
-        spark.read.schema(_with_corrupt(schema, parameters))
+        spark.read.schema(payload_schema(schema, parameters))
         .option("multiLine", True).option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
@@ -38,7 +39,7 @@ def read_payloads(
 def parse_payloads(df: DataFrame, schema: StructType, text: str = "payload") -> DataFrame:
     """The same from payloads held as JSON text in a column (other columns stay)."""
     parsed = F.from_json(
-        F.col(text), _with_corrupt(schema),
+        F.col(text), payload_schema(schema),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
     others = [c for c in df.columns if c != text]

@@ -1,8 +1,9 @@
 """Load payload files as they land, each file once.
 
 The rows are those of the batch load. One call processes everything that has
-arrived and stops; progress is kept in ``progress`` (a folder all executors share),
-so a restarted run continues where the last one ended.
+arrived and stops; progress is kept in a folder all executors share, so a
+restarted run continues where the last one ended. A batch repeated after a failure
+appends its rows again, which the latest-state tables reduce to one.
 """
 
 from __future__ import annotations
@@ -11,11 +12,11 @@ from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..sources.payloads import CORRUPT, _with_corrupt, split_corrupt
-from ..sources.tables import STAMP, run_stamp
+from ..session import staged
+from ..sources.payloads import CORRUPT, payload_schema, split_corrupt
+from ..sources.tables import append_rows
 
 
 def land_new_payloads(
@@ -24,22 +25,26 @@ def land_new_payloads(
     schema: StructType,
     flatten: Callable[[DataFrame], DataFrame],
     table: str,
+    quarantine: str,
     progress: str,
     run_time: datetime,
     parameters: Sequence[str] = ("brand_id",),
-) -> StreamingQuery:
-    """Flatten the payload files not seen before and append them to ``table``."""
+) -> None:
+    """Append the rows of payload files not seen before to ``table``, unreadable files to ``quarantine``."""
     landed = (
-        spark.readStream.schema(_with_corrupt(schema, parameters))
+        spark.readStream.schema(payload_schema(schema, parameters))
         .option("multiLine", True).option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
     )
-    good, _ = split_corrupt(landed)
-    rows = flatten(good).withColumn(STAMP, run_stamp(run_time))
+
+    def store(batch: DataFrame, _: int) -> None:
+        good, bad = split_corrupt(staged(batch, "landed"))
+        append_rows(flatten(good), table, run_time)
+        append_rows(bad.select(*parameters, CORRUPT), quarantine, run_time)
+
     query = (
-        rows.writeStream.format("parquet").option("path", table).option("checkpointLocation", progress)
-        .outputMode("append").trigger(availableNow=True).start()
+        landed.writeStream.foreachBatch(store).option("checkpointLocation", progress)
+        .trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    return query

@@ -150,10 +150,10 @@ def own_and_competitors(t: Tables) -> DataFrame:
     return reports.own_and_competitors(_facts(t), ["snapshot_week", "topic_id"], digits=2)
 
 
-@query(f"""WITH {b.SNAP_FACT} SELECT brand_name, sum(round(ai_share_of_voice * 1e6)::BIGINT)::DOUBLE / 1e6 /
+@query(f"""WITH {b.SNAP_FACT} SELECT brand_name, sum(round_even(ai_share_of_voice * 1e9, 0)::BIGINT)::DOUBLE / 1e9 /
   nullif(count(ai_share_of_voice), 0) AS avg_share_of_voice FROM fact GROUP BY ALL""")
 def share_by_brand(t: Tables) -> DataFrame:
-    return reports.share_by_brand(_facts(t), places=6)
+    return reports.share_by_brand(_facts(t), places=9)
 
 
 @query("SELECT lang, source, count(*) AS rows, count(DISTINCT n_chars) AS distinct_n_chars FROM documents GROUP BY ALL")

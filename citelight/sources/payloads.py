@@ -43,9 +43,9 @@ def parse_payloads(df: DataFrame, schema: StructType, text: str = "payload") ->
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
     others = [c for c in df.columns if c != text]
-    return df.select(*others, parsed.alias("_p")).select(
-        *others, F.col("_p.data").alias("data"), F.col(f"_p.{CORRUPT}").alias(CORRUPT)
-    )
+    # As a generator the parse runs once per document; as a plain column Spark would repeat
+    # it in every later filter that is pushed below this projection.
+    return df.select(*others, F.inline(F.array(parsed)))
 
 
 def split_corrupt(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:

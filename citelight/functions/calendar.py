@@ -47,7 +47,7 @@ def text_day(text: ColumnOrName) -> Column:
 def firestore_timestamp(stamp: ColumnOrName) -> Column:
     """``{_seconds, _nanoseconds}`` to a timestamp (microsecond precision)."""
     stamp = _col(stamp)
-    micros = stamp["_seconds"] * F.lit(1_000_000) + F.floor(
+    micros = stamp["_seconds"].cast("bigint") * F.lit(1_000_000) + F.floor(
         F.coalesce(stamp["_nanoseconds"], F.lit(0)) / F.lit(1000)
     )
     return F.timestamp_micros(micros)

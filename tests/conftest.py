@@ -10,16 +10,24 @@ from citelight.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    shared = str(tmp_path_factory.mktemp("shared"))
     session = build_session(
-        "local[4]", "citelight-tests",
+        "local[8]", "citelight-tests",
         **{
             "spark.sql.shuffle.partitions": "4",
-            "spark.checkpoint.dir": shared,
-            "spark.driver.memory": "4g",
-            "spark.sql.warehouse.dir": shared + "/warehouse",
+            "spark.driver.memory": "6g",
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )
-    session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="session")
+def plan_of():
+    """Text of a DataFrame's physical plan before it runs."""
+
+    def text(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    return text

@@ -167,9 +167,10 @@ def load_by_date(spark: SparkSession, landing: str, warehouse: Warehouse, run_ti
         "brand_snapshots": schemas.DATED_BRAND_SNAPSHOTS, "answer_texts": schemas.DATED_ANSWER_TEXTS,
         "citations": schemas.DATED_CITATIONS,
     }
-    by = {"brand_snapshots": ("snapshot_date", "owning_brand_id"), "citations": ("snapshot_date", "brand_id")}
+    by_day = ("brand_snapshots", "citations")
     for table, schema in targets.items():
-        tables.ensure_table(spark, warehouse.path(table), schema, by.get(table, ()))
+        partitions = ("snapshot_date",) if table in by_day else ()
+        tables.ensure_table(spark, warehouse.path(table), schema, partitions)
     run = _Extract(spark, landing, warehouse, run_time)
     run_day = F.to_date(tables.run_stamp(run_time))
 
@@ -188,19 +189,18 @@ def load_by_date(spark: SparkSession, landing: str, warehouse: Warehouse, run_ti
     stored = tables.read_table(spark, warehouse.path("brand_snapshots"), targets["brand_snapshots"])
     if not spark.range(1).where(anything_new(terms, stored)).isEmpty():
         reports = run.payloads("term_report", schemas.TERM_REPORT)
-        tables.overwrite_partitions(
-            flatten.dated_brand_snapshots(reports, run_day).select(
-                *[c for c in targets["brand_snapshots"].names if c != "loaded_at"]
-            ),
-            warehouse.path("brand_snapshots"), run_time, by["brand_snapshots"], ("is_own_brand", "engine"),
+        tables.overwrite_days(
+            spark, flatten.dated_brand_snapshots(reports, run_day), warehouse.path("brand_snapshots"),
+            targets["brand_snapshots"], run_time, cluster=("is_own_brand", "engine"),
         )
         tables.append_new(
             spark, flatten.answer_texts(reports).drop("brand_id"), warehouse.path("answer_texts"),
             targets["answer_texts"], "execution_id", run_time,
         )
-        tables.overwrite_partitions(
-            flatten.dated_citations(run.payloads("citations", schemas.CITATIONS), run_day),
-            warehouse.path("citations"), run_time, by["citations"], ("engine", "domain"),
+        cited = flatten.dated_citations(run.payloads("citations", schemas.CITATIONS), run_day)
+        tables.overwrite_days(
+            spark, cited, warehouse.path("citations"), targets["citations"], run_time, owner="brand_id",
+            cluster=("brand_id", "engine", "domain"),
         )
     return run.result
 

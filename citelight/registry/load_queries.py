@@ -69,11 +69,13 @@ def load_append_dedup(t: Tables) -> DataFrame:
     return t.spark.read.schema(schema).parquet(path).drop("loaded_at")
 
 
-def _overwritten(t: Tables, by: tuple[str, ...]) -> DataFrame:
+def _overwritten(t: Tables, owner: str | None) -> DataFrame:
     path = scratch_path(t.spark, "overwrite")
-    tables.overwrite_partitions(_stored(t), path, RUN, by, ("event_type",))
-    tables.overwrite_partitions(_incoming(t), path, RUN, by, ("event_type",))
-    return t.spark.read.schema(_dated(t).schema).parquet(path)
+    schema = _dated(t).withColumn("loaded_at", tables.run_stamp(RUN)).schema
+    tables.ensure_table(t.spark, path, schema, ["snapshot_date"])
+    for batch in (_stored(t), _incoming(t)):
+        tables.overwrite_days(t.spark, batch, path, schema, RUN, owner=owner, cluster=("event_type",))
+    return tables.read_table(t.spark, path, schema).drop("loaded_at")
 
 
 @query(f"""WITH {DATED} SELECT event_id, snapshot_date, owning_brand_id, event_type,
@@ -81,7 +83,7 @@ def _overwritten(t: Tables, by: tuple[str, ...]) -> DataFrame:
     THEN value + 1000 ELSE value END AS value FROM dated""")
 def load_partition_overwrite(t: Tables) -> DataFrame:
     """Replace the touched days of one owner; other days and owners stay."""
-    return _overwritten(t, ("snapshot_date", "owning_brand_id"))
+    return _overwritten(t, "owning_brand_id")
 
 
 @query(f"""WITH {DATED} SELECT event_id, snapshot_date, owning_brand_id, event_type,
@@ -89,7 +91,7 @@ def load_partition_overwrite(t: Tables) -> DataFrame:
 WHERE snapshot_date < DATE '2024-01-10' OR snapshot_date > DATE '2024-01-20' OR owning_brand_id = 'ws-2'""")
 def load_day_overwrite(t: Tables) -> DataFrame:
     """Replace whole touched days: other owners' rows of those days go."""
-    return _overwritten(t, ("snapshot_date",))
+    return _overwritten(t, None)
 
 
 @query("""SELECT coalesce(s.k, t.k) AS k, CASE WHEN s.k IS NOT NULL THEN s.price ELSE t.price END AS price,

@@ -117,26 +117,41 @@ def truncate_load(rows: DataFrame, path: str, run_time: datetime) -> bool:
     return True
 
 
-def overwrite_partitions(
+def overwrite_days(
+    spark: SparkSession,
     rows: DataFrame,
     path: str,
+    schema: StructType,
     run_time: datetime,
-    by: Sequence[str] = ("snapshot_date", "owning_brand_id"),
+    day: str = "snapshot_date",
+    owner: str | None = "owning_brand_id",
     cluster: Sequence[str] = (),
 ) -> None:
-    """Replace only the partitions the batch touches; other history stays.
+    """Replace only the days the batch touches; other history stays.
 
-    Rows without a date belong to the run's day. ``by=("snapshot_date",)`` replaces
-    whole days: a batch of one brand then also removes other brands' rows of those
-    days. The default replaces one brand's days.
+    Rows without a day belong to the run's day. With ``owner``, the rows other owners
+    have on those days are carried over, so a batch of one brand replaces that brand's
+    days only. ``owner=None`` replaces whole days, whoever owns their rows. The table
+    at ``path`` (partitioned by ``day``) must exist.
     """
-    day = by[0]
-    dated = rows.withColumn(day, F.coalesce(F.col(day), F.to_date(run_stamp(run_time)))).withColumn(
-        "loaded_at", run_stamp(run_time)
-    )
-    laid_out(dated, by, cluster).write.mode("overwrite").option(
+    stamp = run_stamp(run_time)
+    dated = rows.withColumn(day, F.coalesce(F.col(day), F.to_date(stamp))).withColumn("loaded_at", stamp)
+    dated = dated.select(*schema.names)
+    if owner is not None:
+        dated = staged(dated, "days")
+        first, last = dated.agg(F.min(day), F.max(day)).first()
+        if first is None:
+            return
+        # The range prunes partitions; the joins then keep exactly the other owners of touched days.
+        stored = read_table(spark, path, schema).where(F.col(day).between(F.lit(first), F.lit(last)))
+        kept = join_null_safe(
+            stored.join(dated.select(day).distinct(), day, "left_semi").select(*schema.names),
+            dated.select(day, owner).distinct(), [day, owner], "left_anti",
+        )
+        dated = staged(dated.unionByName(kept), "days")
+    laid_out(dated, [day], cluster).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
-    ).partitionBy(*by).parquet(path)
+    ).partitionBy(day).parquet(path)
 
 
 def new_rows(target: DataFrame, batch: DataFrame, key: str, sequence: str | None = None) -> DataFrame:

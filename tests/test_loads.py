@@ -77,18 +77,19 @@ def dated(spark, rows):
     return spark.createDataFrame(rows, DATED).withColumn("snapshot_date", F.col("snapshot_date").cast("date"))
 
 
-@pytest.mark.parametrize("by, kept", [
-    (("snapshot_date", "owning_brand_id"), {("2026-04-01", "b1", 1), ("2026-04-02", "b2", 2), ("2026-04-02", "b1", 9),
-                                            ("2026-04-22", "b1", 7)}),
-    (("snapshot_date",), {("2026-04-01", "b1", 1), ("2026-04-02", "b1", 9), ("2026-04-22", "b1", 7)}),
+@pytest.mark.parametrize("owner, kept", [
+    ("owning_brand_id", {("2026-04-01", "b1", 1), ("2026-04-02", "b2", 2), ("2026-04-02", None, 3),
+                         ("2026-04-02", "b1", 9), ("2026-04-22", "b1", 7)}),
+    (None, {("2026-04-01", "b1", 1), ("2026-04-02", "b1", 9), ("2026-04-22", "b1", 7)}),
 ])
-def test_partition_overwrite(spark, tmp_path, by, kept):
+def test_overwrite_days(spark, tmp_path, owner, kept):
     path = str(tmp_path / "t")
-    tables.overwrite_partitions(dated(spark, [("2026-04-01", "b1", 1), ("2026-04-02", "b1", 2), ("2026-04-02", "b2", 2)]),
-                                path, RUN, by)
-    tables.overwrite_partitions(dated(spark, [("2026-04-02", "b1", 9), (None, "b1", 7)]), path, RUN, by)
-    tables.overwrite_partitions(dated(spark, []), path, RUN, by)  # an empty batch touches nothing
-    stored = spark.read.schema("v int, snapshot_date date, owning_brand_id string").parquet(path)
+    schema = StructType.fromDDL("snapshot_date date, owning_brand_id string, v int, loaded_at timestamp")
+    tables.ensure_table(spark, path, schema, ["snapshot_date"])
+    first = [("2026-04-01", "b1", 1), ("2026-04-02", "b1", 2), ("2026-04-02", "b2", 2), ("2026-04-02", None, 3)]
+    for batch in (first, [("2026-04-02", "b1", 9), (None, "b1", 7)], []):  # an empty batch touches nothing
+        tables.overwrite_days(spark, dated(spark, batch), path, schema, RUN, owner=owner)
+    stored = tables.read_table(spark, path, schema)
     assert {(str(r.snapshot_date), r.owning_brand_id, r.v) for r in stored.collect()} == kept
 
 

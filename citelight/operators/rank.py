@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import staged
-from .share import join_null_safe
+from .share import attach_group_values, join_null_safe
 
 # A group up to this many rows is ranked by one window; beyond it the ranking is split.
 WINDOW_ROWS = 2_000_000
@@ -54,6 +54,6 @@ def split_rank(df: DataFrame, group: Sequence[str], by: str, out: str = "rank")
     )
     above = pieces.withColumn("_above", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
     ranks = join_null_safe(above, starts, [*group, "_piece"], "inner").select(
-        *group, by, (F.col("_before") + F.col("_above") + 1).alias(out)
+        *group, by, "_n", (F.col("_before") + F.col("_above") + 1).alias(out)
     )
-    return join_null_safe(df, ranks, [*group, by], "left")
+    return attach_group_values(df, ranks, [*group, by], "_n")

@@ -41,30 +41,42 @@ def metric_day() -> Column:
     return F.to_date(F.coalesce("last_snapshot_at", LOADED))
 
 
-def fact_snapshots(raw: DataFrame, digits: int | None = None) -> DataFrame:
-    """Newest snapshot per search term, brand name and ISO week, with share of voice.
+def latest_snapshots(raw: DataFrame) -> DataFrame:
+    """Newest landing row per search term, brand name and ISO week (``snapshot_week``).
 
-    Share of voice is computed for every brand, after deduplication. Where one name
-    appears as own brand and as competitor of a term, the own-brand row is kept when
-    the times tie.
+    Where one name appears as own brand and as competitor of a term, the own-brand row
+    is kept when the times tie.
     """
-    dated = raw.withColumn("snapshot_date", metric_day()).withColumn("snapshot_week", iso_week("snapshot_date"))
+    weekly = raw.withColumn("snapshot_week", iso_week(metric_day()))
     remaining = [c for c in raw.columns if c not in ("is_own_brand", "last_snapshot_at", LOADED)]
-    single = latest_per_key(
-        dated,
+    return latest_per_key(
+        weekly,
         ["search_term_id", "brand_name", "snapshot_week"],
         [F.desc_nulls_last("last_snapshot_at"), F.desc_nulls_last(LOADED)],
         [F.desc_nulls_last("is_own_brand"), *[F.desc_nulls_last(c) for c in remaining]],
     )
-    shared = share_of_voice(
-        single, "visibility_score", ["search_term_id", "snapshot_week"], digits=digits
-    )
-    return shared.select(
-        "snapshot_week", "snapshot_date", "search_term_id", "brand_name",
+
+
+def snapshot_columns(latest: DataFrame, *more: str) -> DataFrame:
+    """Fact columns of the newest snapshots; competitors have no brand id."""
+    return latest.select(
+        "snapshot_week", metric_day().alias("snapshot_date"), "search_term_id", "brand_name",
         F.when(F.col("is_own_brand"), F.col("brand_id")).alias("brand_id"),
         "is_own_brand", "topic_id", "engine", "visibility_score", "avg_sentiment", "avg_rank", "latest_rank",
-        "detection_rate", "top3_rate", "citation_count", "appearances", "ai_share_of_voice",
+        "detection_rate", "top3_rate", "citation_count", "appearances", *more,
+    )
+
+
+def fact_snapshots(raw: DataFrame, digits: int | None = None) -> DataFrame:
+    """Newest snapshot per search term, brand name and ISO week, with share of voice.
+
+    Share of voice is computed for every brand, after deduplication. Rows and group
+    sums use the same columns of the deduplicating shuffle, so it runs once for both.
+    """
+    shared = share_of_voice(
+        latest_snapshots(raw), "visibility_score", ["search_term_id", "snapshot_week"], digits=digits
     )
+    return snapshot_columns(shared, "ai_share_of_voice")
 
 
 def fact_citations(raw: DataFrame) -> DataFrame:

@@ -123,11 +123,10 @@ def load_raw(
     reports = run.payloads("term_report", schemas.TERM_REPORT)
     marks = stored_marks(warehouse.read(spark, "raw_brand_snapshots"))
     # Decided before this run's snapshots are stored, for snapshots and texts alike.
-    fresh = staged(
-        fresh_brands(flatten.latest_payload_snapshot(reports), marks, force=backfill), "fresh-brands"
-    )
-    run.append(flatten.brand_snapshots(gate(reports, fresh)), "raw_brand_snapshots")
-    run.append(flatten.answer_texts(gate(reports, fresh)), "raw_answer_texts")
+    # The gate writes its list of brands when it is built.
+    reports = gate(reports, fresh_brands(flatten.latest_payload_snapshot(reports), marks, force=backfill))
+    run.append(flatten.brand_snapshots(reports), "raw_brand_snapshots")
+    run.append(flatten.answer_texts(reports), "raw_answer_texts")
 
     run.append(flatten.citations(run.payloads("citations", schemas.CITATIONS)), "raw_citations")
     return run.result

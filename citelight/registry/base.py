@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import TimestampType
 
+from ..session import RECOMMENDED
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -38,7 +40,8 @@ def query(sql: str | None = None, name: str | None = None):
         key = name or build.__name__
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            for setting in ("spark.sql.session.timeZone", "spark.sql.adaptive.forceOptimizeSkewedJoin"):
+                spark.conf.set(setting, RECOMMENDED[setting])
             return clock_free(build(Tables(spark, folder)))
 
         if key in QUERIES:

@@ -22,6 +22,11 @@ def _as_of():
 
 
 def _facts(t: Tables) -> DataFrame:
+    """Snapshot facts without share of voice, for the reports that do not show it."""
+    return layers.snapshot_columns(layers.latest_snapshots(b.snapshots(t)))
+
+
+def _shared_facts(t: Tables) -> DataFrame:
     return layers.fact_snapshots(b.snapshots(t), digits=2)
 
 
@@ -61,7 +66,7 @@ def competitor_top10(t: Tables) -> DataFrame:
 @query(f"""WITH {b.SNAP_FACT} SELECT snapshot_week, brand_name, is_own_brand, visibility_score, ai_share_of_voice
 FROM fact WHERE search_term_id = '17'""")
 def prompt_comparison(t: Tables) -> DataFrame:
-    return reports.prompt_comparison(_facts(t), "17")
+    return reports.prompt_comparison(_shared_facts(t), "17")
 
 
 @query(f"""WITH {b.SNAP_FACT} SELECT search_term_id, 'prompt ' || search_term_id AS query, topic_id, visibility_score,
@@ -153,7 +158,7 @@ def own_and_competitors(t: Tables) -> DataFrame:
 @query(f"""WITH {b.SNAP_FACT} SELECT brand_name, sum(round_even(ai_share_of_voice * 1e9, 0)::BIGINT)::DOUBLE / 1e9 /
   nullif(count(ai_share_of_voice), 0) AS avg_share_of_voice FROM fact GROUP BY ALL""")
 def share_by_brand(t: Tables) -> DataFrame:
-    return reports.share_by_brand(_facts(t), places=9)
+    return reports.share_by_brand(_shared_facts(t), places=9)
 
 
 @query("SELECT lang, source, count(*) AS rows, count(DISTINCT n_chars) AS distinct_n_chars FROM documents GROUP BY ALL")

@@ -7,6 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import week_monday
+from ..session import staged
 
 REPORT_DAYS = 7  # fixed value: trailing days a daily report load covers
 
@@ -29,8 +30,12 @@ def fresh_brands(payload_marks: DataFrame, stored: DataFrame, force: bool = Fals
 
 
 def gate(batch: DataFrame, fresh: DataFrame) -> DataFrame:
-    """Rows of the brands to load."""
-    return batch.join(fresh, "brand_id", "left_semi")
+    """Rows of the brands to load.
+
+    The list of brands is written to the shared folder first: its size is then known
+    when the join is planned, and a short list is broadcast without moving the batch.
+    """
+    return batch.join(staged(fresh, "fresh-brands"), "brand_id", "left_semi")
 
 
 def anything_new(terms: DataFrame, stored: DataFrame) -> Column:

@@ -86,6 +86,17 @@ def test_share_of_voice(spark):
     assert len(got) == len(rows)
 
 
+def test_hot_groups_give_the_same_shares(spark):
+    random.seed(9)
+    rows = [(random.choice(["hot"] * 3 + [None] * 2 + list("abcde")), i, random.randint(0, 50) / 10) for i in range(3000)]
+    df = make(spark, rows, "t string, id int, v double")
+    shares = [
+        sorted((r.id, r.s) for r in share_of_voice(df, "v", ["t"], "s", digits=1, hot_rows=n).collect())
+        for n in (1, 500, 10**9)
+    ]
+    assert shares[0] == shares[1] == shares[2] and len(shares[0]) == 3000
+
+
 def test_shares_of_a_group_add_up_to_one(spark):
     random.seed(3)
     rows = [(random.choice(["hot"] * 5 + list("abcde")), random.randint(0, 1000) / 10) for _ in range(2000)]

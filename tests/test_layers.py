@@ -64,6 +64,15 @@ def test_loading_again_changes_nothing(spark):
     assert quality.repeated_keys(facts, ["search_term_id", "brand_name", "snapshot_week"]).isEmpty()
 
 
+def test_deduplication_runs_once_for_rows_and_sums(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    snapshots(spark, [snap("t1", "A", "2026-04-21 06:00:00", "2026-04-21 08:00:00", 1.0)]).write.parquet(path)
+    facts = layers.fact_snapshots(spark.read.parquet(path))
+    facts.collect()
+    final = facts._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
 def test_brand_activity(spark):
     raw = spark.createDataFrame([
         ("b1", "Old name", "d", True, "2026-04-20 06:00:00"), ("b1", "One", "d", True, "2026-04-21 06:00:00"),

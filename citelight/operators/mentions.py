@@ -5,12 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+# Up to this many spellings are broadcast (a few MB); more are joined by shuffling.
+FEW_SPELLINGS = 50_000
+
+
 def words_of(text: Column) -> Column:
     """Lower-case words: the text cut at everything that is not a letter, digit or quote mark."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}']+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}']+"), "")
 
 
-def mentions(answers: DataFrame, names: DataFrame, text: str, key: str) -> DataFrame:
+def mentions(
+    answers: DataFrame, names: DataFrame, text: str, key: str, few_spellings: int = FEW_SPELLINGS
+) -> DataFrame:
     """How often and where first each name occurs in each answer, in words.
 
     ``names`` has ``brand_name`` and ``spelling`` (one row per spelling; a spelling
@@ -24,10 +30,14 @@ def mentions(answers: DataFrame, names: DataFrame, text: str, key: str) -> DataF
         .where(F.size("_spelling") > 0).distinct()
         .select("brand_name", F.col("_spelling")[0].alias("_head"), F.col("_spelling"))
     )
-    longest = spelled.agg(F.max(F.size("_spelling"))).first()[0] or 1
+    longest, spellings = spelled.agg(F.max(F.size("_spelling")), F.count(F.lit(1))).first()
+    longest = longest or 1
+    few = spellings <= few_spellings
+    if few:
+        spelled = F.broadcast(spelled)
     words = answers.select(key, words_of(F.col(text)).alias("_words"))
-    if longest == 1:
-        # Counting each word of an answer before the join keeps frequent words small.
+    if longest == 1 and not few:
+        # Counting each word of an answer before the shuffled join keeps frequent words small.
         places = words.select(key, F.posexplode("_words").alias("_at", "_head"))
         counted = places.groupBy(key, "_head").agg(
             F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first")
@@ -36,23 +46,22 @@ def mentions(answers: DataFrame, names: DataFrame, text: str, key: str) -> DataF
         return found.groupBy(key, "brand_name").agg(
             F.sum("_n").alias("mention_count"), F.min("_first").cast("long").alias("first_position")
         )
-    places = words.select(
-        key,
-        F.explode(
-            F.transform(
-                F.col("_words"),
-                lambda w, i: F.struct(
-                    i.alias("at"), w.alias("head"), F.slice(F.col("_words"), i + 1, longest).alias("ahead")
-                ),
+    if longest == 1:
+        places = words.select(key, F.posexplode("_words").alias("at", "_head"))
+        found = places.join(spelled.select("brand_name", "_head"), "_head")
+        count = F.count(F.lit(1))
+    else:
+        ahead = F.transform(
+            F.col("_words"), lambda w, i: F.struct(
+                w.alias("_first"), F.slice(F.col("_words"), i + 1, longest).alias("_ahead")
             )
-        ).alias("_p"),
-    ).select(key, "_p.*")
-    hit = (F.col("head") == F.col("_head")) & (
-        F.slice(F.col("ahead"), F.lit(1), F.size("_spelling")) == F.col("_spelling")
-    )
-    found = places.join(spelled, hit)
+        )
+        places = words.select(key, F.posexplode(ahead).alias("at", "_p")).select(key, "at", "_p.*")
+        same = F.slice(F.col("_ahead"), F.lit(1), F.size("_spelling")) == F.col("_spelling")
+        found = places.join(spelled, (F.col("_first") == F.col("_head")) & same)
+        count = F.count_distinct("at")  # two spellings of one brand may start at the same word
     return found.groupBy(key, "brand_name").agg(
-        F.count_distinct("at").alias("mention_count"), F.min("at").cast("long").alias("first_position")
+        count.alias("mention_count"), F.min("at").cast("long").alias("first_position")
     )
 
 

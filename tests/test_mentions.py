@@ -19,10 +19,12 @@ def brute_force(texts, names):
 
 
 def check(spark, texts, names):
-    df = mentions(
-        spark.createDataFrame(texts, "id string, text string"),
-        spark.createDataFrame(names, "brand_name string, spelling string"), "text", "id")
-    assert {(r.id, r.brand_name): (r.mention_count, r.first_position) for r in df.collect()} == brute_force(texts, names)
+    for few in (0, 1000):  # shuffled and broadcast spellings
+        df = mentions(
+            spark.createDataFrame(texts, "id string, text string"),
+            spark.createDataFrame(names, "brand_name string, spelling string"), "text", "id", few)
+        got = {(r.id, r.brand_name): (r.mention_count, r.first_position) for r in df.collect()}
+        assert got == brute_force(texts, names)
 
 
 def test_single_words(spark):

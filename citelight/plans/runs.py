@@ -39,7 +39,7 @@ class Warehouse:
 
 @dataclass
 class RunResult:
-    """Unreadable payloads by endpoint. They are set aside; the others are loaded."""
+    """Unreadable or incomplete payloads by endpoint. They are set aside; the others are loaded."""
 
     failed: dict[str, int] = field(default_factory=dict)
 
@@ -90,11 +90,11 @@ class _Extract:
         """Readable payloads of an endpoint.
 
         The JSON is parsed once into a columnar copy in the shared folder, which all
-        flatteners read. Unreadable documents go to a quarantine table.
+        flatteners read. Unreadable and incomplete documents go to a quarantine table.
         """
         path = f"{self.landing.rstrip('/')}/{endpoint}"
         parsed = staged(read_payloads(self.spark, path, schema, parameters), f"payloads-{endpoint}")
-        good, bad = split_corrupt(parsed)
+        good, bad = split_corrupt(parsed, endpoint)
         failures = bad.count()
         self.result.failed[endpoint] = failures
         if failures:
@@ -272,7 +272,7 @@ def rows_of_touched_weeks(raw: DataFrame, clocks: Sequence[str], since: datetime
     # Two values: rows of the undated week (if touched) and the first Monday.
     undated, first = touched.agg(F.count_if(F.col("_week").isNull()), F.min("_monday")).first()
     start = tables.run_stamp(datetime.combine(first, datetime.min.time(), timezone.utc)) if first else F.lit(None)
-    within = F.coalesce(_not_before(clocks, start), F.lit(False)) if first else F.lit(False)
+    within = _not_before(clocks, start) if first else F.lit(False)
     if undated:
         within = within | F.coalesce(*clocks).isNull()
     dated = raw.where(within).withColumn("_week", iso_week(day))

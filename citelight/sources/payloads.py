@@ -9,8 +9,10 @@ become columns (text), the document becomes the column ``data``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
 CORRUPT = "_corrupt_record"
@@ -48,7 +50,35 @@ def parse_payloads(df: DataFrame, schema: StructType, text: str = "payload") ->
     return df.select(*others, F.inline(F.array(parsed)))
 
 
-def split_corrupt(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Payloads that can be flattened, and those to quarantine (unreadable or without ``data``)."""
-    bad = F.col(CORRUPT).isNotNull() | F.col("data").isNull()
-    return payloads.where(~bad).drop(CORRUPT), payloads.where(bad)
+def all_have(entries: Column, *fields: str) -> Column:
+    """Whether every entry of a list has a value in each field; NULL for a missing list."""
+    return F.forall(entries, lambda e: reduce(and_, [e[f].isNotNull() for f in fields]))
+
+
+def complete(endpoint: str) -> Column:
+    """Whether a payload has the lists and ids its flatteners rely on.
+
+    The lists of brands, search terms and topics must be there; a report may lack its list.
+    """
+    if endpoint == "brands":
+        return F.coalesce(all_have(F.col("data.brands"), "id", "name"), F.lit(False))
+    if endpoint == "search_terms":
+        return F.coalesce(all_have(F.col("data.searchTerms"), "id"), F.lit(False))
+    if endpoint == "topics":
+        return F.coalesce(all_have(F.col("data.topics"), "id", "name"), F.lit(False))
+    if endpoint == "term_report":
+        terms = F.col("data.searchTerms")
+        texts = F.forall(terms, lambda t: F.coalesce(all_have(t["answerTexts"], "executionId"), F.lit(True)))
+        return F.coalesce(all_have(terms, "searchTermId") & texts, F.lit(True))
+    return F.lit(True)
+
+
+def split_corrupt(payloads: DataFrame, endpoint: str = "") -> tuple[DataFrame, DataFrame]:
+    """Payloads that can be flattened, and those to quarantine.
+
+    Quarantined are unreadable documents, documents without ``data`` and, when the
+    ``endpoint`` is named, incomplete ones; ``_corrupt_record`` then holds their content.
+    """
+    good = F.col(CORRUPT).isNull() & F.col("data").isNotNull() & complete(endpoint)
+    bad = payloads.where(~good).withColumn(CORRUPT, F.coalesce(CORRUPT, F.to_json("data"), F.lit("")))
+    return payloads.where(good).drop(CORRUPT), bad

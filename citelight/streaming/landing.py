@@ -29,8 +29,12 @@ def land_new_payloads(
     progress: str,
     run_time: datetime,
     parameters: Sequence[str] = ("brand_id",),
+    endpoint: str = "",
 ) -> None:
-    """Append the rows of payload files not seen before to ``table``, unreadable files to ``quarantine``."""
+    """Append the rows of payload files not seen before to ``table``, files that cannot be used to ``quarantine``.
+
+    Naming the ``endpoint`` also sets incomplete documents aside, as the batch load does.
+    """
     landed = (
         spark.readStream.schema(payload_schema(schema, parameters))
         .option("multiLine", True).option("mode", "PERMISSIVE")
@@ -39,7 +43,7 @@ def land_new_payloads(
     )
 
     def store(batch: DataFrame, _: int) -> None:
-        good, bad = split_corrupt(staged(batch, "landed"))
+        good, bad = split_corrupt(staged(batch, "landed"), endpoint)
         append_rows(flatten(good), table, run_time)
         append_rows(bad.select(*parameters, CORRUPT), quarantine, run_time)
 

@@ -93,6 +93,38 @@ def test_unreadable_payload_is_set_aside(spark, tmp_path, landing):
     assert [r.brand_id for r in bad] == ["b3"] and "searchTerms" in bad[0]._corrupt_record
 
 
+def test_incomplete_payloads_are_set_aside(spark, tmp_path, landing):
+    """A term without id fails its payload; the other brands' payloads are loaded."""
+    samples.land(landing, "term_report", {"data": {"searchTerms": [
+        {"searchTermId": "t7", "ownBrand": samples.brand("X", 1)}, {"ownBrand": samples.brand("Y", 1)}]}}, brand_id="b3")
+    samples.land(landing, "term_report", {"data": {"searchTerms": [
+        {"searchTermId": "t8", "answerTexts": [{"answerText": "no id"}]}]}}, brand_id="b4")
+    samples.land(landing, "term_report", {"data": {}}, brand_id="b5")  # no list is an empty report
+    samples.land(landing, "search_terms", {"data": {}}, brand_id="b3")
+    house = Warehouse(str(tmp_path / "house"))
+    failed = runs.load_raw(spark, landing, house, at(22)).failed
+    assert failed == {"brands": 0, "search_terms": 1, "term_report": 2, "citations": 0}
+    assert house.read(spark, "raw_brand_snapshots").count() == 6
+    kept = spark.read.parquet(house.path("quarantine_term_report")).collect()
+    assert sorted(r.brand_id for r in kept) == ["b3", "b4"] and all("searchTerm" in r._corrupt_record for r in kept)
+
+
+def test_reports_and_refreshes_skip_what_they_do_not_need(spark, plan_of, tmp_path, landing):
+    from citelight.plans import reports
+
+    house = Warehouse(str(tmp_path / "house"))
+    runs.load_raw(spark, landing, house, at(22))
+    runs.full_refresh(spark, house)
+    as_of = F.lit("2026-04-22").cast("date")
+    facts = house.read(spark, "l2_snapshots")
+    assert "(snapshot_week#" in plan_of(reports.in_week(facts, as_of)).split("PartitionFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(snapshot_date,2026-03-23)" in plan_of(reports.recent(facts, "snapshot_date", as_of))
+    plan = plan_of(runs.rows_of_touched_weeks(
+        house.read(spark, "raw_brand_snapshots"), ("last_snapshot_at", "etl_loaded_at"), at(21)))
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(last_snapshot_at,2026-04-20" in pushed and "IsNull(last_snapshot_at)" in pushed
+
+
 def test_incremental_refresh_equals_full(spark, tmp_path, landing):
     house = Warehouse(str(tmp_path / "house"))
     runs.load_raw(spark, landing, house, at(22))
@@ -174,7 +206,7 @@ def test_streamed_landing_equals_batch(spark, tmp_path, landing):
     def run(hour):
         land_new_payloads(
             spark, f"{landing}/term_report", schemas.TERM_REPORT, flatten.brand_snapshots, table, bad, progress,
-            at(22, hour))
+            at(22, hour), endpoint="term_report")
 
     run(6)
     assert spark.read.parquet(table).count() == 6 and spark.read.parquet(bad).count() == 1

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -19,7 +19,7 @@ from ..functions import iso_week, week_monday
 from ..operators.share import join_null_safe
 from ..session import staged
 from ..sources import flatten, tables
-from ..sources.freshness import anything_new, fresh_brands, gate, stored_marks
+from ..sources.freshness import anything_new, fresh_brands, gate, in_window, stored_marks
 from ..sources.payloads import CORRUPT, read_payloads, split_corrupt
 from . import layers
 
@@ -132,8 +132,15 @@ def load_raw(
     return run.result
 
 
-def load_report(spark: SparkSession, landing: str, warehouse: Warehouse, run_time: datetime) -> RunResult:
-    """Report timelines of active topics into their landing table, then into the deduplicated table."""
+def load_report(
+    spark: SparkSession, landing: str, warehouse: Warehouse, run_time: datetime,
+    window: tuple[date, date] | None = None,
+) -> RunResult:
+    """Report timelines of active topics into their landing table, then into the deduplicated table.
+
+    ``window`` (see :func:`citelight.sources.freshness.report_window`) limits the days
+    loaded; without it all days of the payloads are.
+    """
     create_tables(spark, warehouse)
     run = _Extract(spark, landing, warehouse, run_time)
     names = flatten.brands(run.payloads("brands", schemas.BRANDS, ())).select(
@@ -143,9 +150,10 @@ def load_report(spark: SparkSession, landing: str, warehouse: Warehouse, run_tim
         "brand_id", "topic_id", "topic_name"
     )
     reports = run.payloads("report", schemas.REPORT, ("brand_id", "topic_id"))
-    run.append(
-        flatten.report_rows(reports.join(active, ["brand_id", "topic_id"]).join(names, "brand_id")), "l0_report"
-    )
+    rows = flatten.report_rows(reports.join(active, ["brand_id", "topic_id"]).join(names, "brand_id"))
+    if window is not None:
+        rows = rows.where(in_window(F.col("snapshot_date"), window))
+    run.append(rows, "l0_report")
     tables.replace_table(
         layers.report_table(warehouse.read(spark, "l0_report")), warehouse.path("l1_report"),
         cluster=("snapshot_date", "topic_id"),

@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
@@ -33,14 +32,9 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether anything is stored at ``path``."""
-    try:
-        spark.read.format("binaryFile").load(path).schema
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return False
-        raise
-    return True
+    """Whether anything is stored at ``path`` (one metadata call, no file listing)."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def ensure_table(spark: SparkSession, path: str, schema: StructType, partitions: Sequence[str] = ()) -> bool:

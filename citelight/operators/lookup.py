@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import staged
+
 # Spelling found in answers -> canonical brand name.
 BRAND_SPELLINGS = {
     "MONETA": "MONETA Money Bank",
@@ -45,8 +47,14 @@ def canonical_name(name: Column, spellings: Mapping[str, str] = BRAND_SPELLINGS)
 def normalise_names(
     df: DataFrame, name: str, spellings: DataFrame, variant: str, canonical: str, out: str
 ) -> DataFrame:
-    """Canonical name by lookup in a table of spellings (unique on ``variant``)."""
-    side = spellings.select(F.col(variant).alias("_variant"), F.col(canonical).alias("_canonical"))
+    """Canonical name by lookup in a table of spellings (unique on ``variant``).
+
+    The spellings are written first, so their size is known when the join is planned: a
+    short list is broadcast, and rows are not shuffled by names that are few and uneven.
+    """
+    side = staged(
+        spellings.select(F.col(variant).alias("_variant"), F.col(canonical).alias("_canonical")), "spellings"
+    )
     joined = df.join(side, F.col(name) == F.col("_variant"), "left")
     return joined.withColumn(out, F.coalesce("_canonical", name)).drop("_variant", "_canonical")
 
@@ -55,8 +63,11 @@ def brand_ids(df: DataFrame, name: str, brands: DataFrame, key: Column | None =
     """Add ``brand_id`` looked up by (normalised) name; NULL for brands not monitored.
 
     ``brands`` has ``brand_id`` and ``name``. Should two brands share a name, the
-    smallest id is taken, so no row is multiplied.
+    smallest id is taken, so no row is multiplied. The names are written first, as in
+    :func:`normalise_names`.
     """
-    side = brands.groupBy(F.col("name").alias("_name")).agg(F.min("brand_id").alias("brand_id"))
+    side = staged(
+        brands.groupBy(F.col("name").alias("_name")).agg(F.min("brand_id").alias("brand_id")), "brand-names"
+    )
     match = (F.col(name) if key is None else key) == F.col("_name")
     return df.drop("brand_id").join(side, match, "left").drop("_name")

@@ -258,13 +258,17 @@ def metric_star(
     metrics: DataFrame, runs: DataFrame, prompts: DataFrame,
     topics: DataFrame | None = None, brands: DataFrame | None = None,
 ) -> DataFrame:
-    """Metrics joined with their run, prompt and, where given, topic and monitoring brand."""
-    star = metrics.join(runs, "run_id").join(prompts, "prompt_id")
+    """Metrics joined with their run, prompt and, where given, topic and monitoring brand.
+
+    The tables are joined from the smallest up, so metrics, by far the largest, move
+    once (by run) and filters on prompts or brands shrink the runs before that.
+    """
+    context = prompts
     if topics is not None:
-        star = star.join(topics, "topic_id")
+        context = context.join(topics, "topic_id")
     if brands is not None:
-        star = star.join(brands, "brand_id")
-    return star
+        context = context.join(brands, "brand_id")
+    return metrics.join(runs.join(context, "prompt_id"), "run_id")
 
 
 def _metric(kind: str, extra: Column | None = None) -> Column:

@@ -311,7 +311,7 @@ def mention_detection(t: Tables) -> DataFrame:
   {b.sql_mean('metric_value', "metric_type = 'DETECTION_RATE'", 3)} AS avg_detection
 FROM star GROUP BY ALL""")
 def eav_scorecard(t: Tables) -> DataFrame:
-    return reports.engine_scorecard(_star(t), digits=2)
+    return reports.engine_scorecard(reports.metric_star(b.metrics(t), b.runs(t), b.prompts(t)), digits=2)
 
 
 @query(f"""WITH {b.STAR} SELECT topic_name, prompt_text, engine_id, count(DISTINCT run_id) AS weeks_tracked,

@@ -133,14 +133,16 @@ def overwrite_days(
     dated = dated.select(*schema.names)
     if owner is not None:
         dated = staged(dated, "days")
-        first, last = dated.agg(F.min(day), F.max(day)).first()
+        # Written, so that its size is known and a short list is broadcast, not the table shuffled by day.
+        replaced = staged(dated.select(day, owner).distinct(), "days")
+        first, last = replaced.agg(F.min(day), F.max(day)).first()
         if first is None:
             return
         # The range prunes partitions; the joins then keep exactly the other owners of touched days.
         stored = read_table(spark, path, schema).where(F.col(day).between(F.lit(first), F.lit(last)))
         kept = join_null_safe(
-            stored.join(dated.select(day).distinct(), day, "left_semi").select(*schema.names),
-            dated.select(day, owner).distinct(), [day, owner], "left_anti",
+            stored.join(replaced.select(day), day, "left_semi").select(*schema.names),
+            replaced, [day, owner], "left_anti",
         )
         dated = staged(dated.unionByName(kept), "days")
     laid_out(dated, [day], cluster).write.mode("overwrite").option(
@@ -227,7 +229,8 @@ def upsert_table(
     target = read_table(spark, path, schema)
     scope = None
     if scope_keys is not None:
-        present = source.select(scope_keys).distinct().withColumn("_in_batch", F.lit(True))
+        # Written, so that its size is known when the join with the target is planned.
+        present = staged(source.select(scope_keys).distinct(), "scope").withColumn("_in_batch", F.lit(True))
         target = target.join(present, scope_keys, "left").select(*target.columns, "_in_batch")
         scope = F.col("_in_batch")
     merged = upsert(target, source, key, run_stamp(run_time), scope, sequence)

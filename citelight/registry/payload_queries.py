@@ -87,7 +87,7 @@ def _term_payloads(t: Tables) -> DataFrame:
         status=F.when(status == "O", F.lit("active")).otherwise(F.lit("paused")),
         executionsAmount=F.col("o_custkey"), interval=F.lit("weekly"), region=F.lit("cz"),
         createdAt=_iso("o_orderdate"), lastExecutionTime=_when(status != "P", _iso("o_orderdate")),
-        nextScheduledExecutionTime=F.lit("not a time"),
+        nextScheduledExecutionTime=F.when(status == "F", F.lit("not a time")).otherwise(_iso("o_orderdate")),
         searchTermTopicRef=_when(status != "P", _object(id=status, name=F.concat(F.lit("Topic "), status))),
         tags=F.when(status == "O", F.array(F.lit("a b"), F.col("o_orderpriority"))).when(status == "F", no_text),
     )
@@ -104,7 +104,7 @@ TERM_ROWS = """SELECT 'ws-' || o_orderstatus AS brand_id, o_orderkey::VARCHAR AS
   'weekly' AS "interval", CASE WHEN o_orderstatus = 'O' THEN '["a b", "' || o_orderpriority || '"]' ELSE '[]' END AS tags,
   CASE WHEN o_orderstatus = 'O' THEN 'active' ELSE 'paused' END AS status, o_orderdate AS created_at,
   CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS last_execution_time,
-  NULL::TIMESTAMP AS next_execution_time, o_custkey AS executions_amount FROM orders"""
+  CASE WHEN o_orderstatus <> 'F' THEN o_orderdate END AS next_execution_time, o_custkey AS executions_amount FROM orders"""
 
 
 @query(TERM_ROWS)
@@ -339,9 +339,11 @@ def _timeline_payloads(t: Tables) -> DataFrame:
     k = F.regexp_extract("props", "([0-9]+)", 1).cast("bigint")
     series = _object(
         timestamps=stamps, visibilityScore=F.array(value, value + 1), mentions=F.array(k),
+        sentiment=F.array(value), detectionRate=F.array(value, value),
         brandNotFound=F.array(F.col("event_type") == "view", F.lit(False)),
     )
     empty = _object(timestamps=F.array().cast("array<string>"))
+    none = F.lit(None).cast("array<double>")
     kind = F.col("event_type")
     periods = _object(
         weekly=F.when(kind != "click", F.to_json(series)).otherwise(F.to_json(empty)),
@@ -361,9 +363,10 @@ def _timeline_payloads(t: Tables) -> DataFrame:
             timestamps=stamps,
             competitors=F.array(
                 _object(name=F.lit("Rival"), isOwnBrand=F.lit(None).cast("boolean"), metrics=_object(
-                    visibilityScore=F.array(value * 2), citations=F.array(k, k))),
+                    visibilityScore=F.array(value * 2), citations=F.array(k, k), avgPosition=F.array(value),
+                    top3=F.array(value, value))),
                 _object(name=F.lit(None).cast("string"), isOwnBrand=F.lit(True), metrics=_object(
-                    visibilityScore=F.array(value), citations=F.array(k))),
+                    visibilityScore=F.array(value), citations=F.array(k), avgPosition=none, top3=none)),
             ),
         ),
     ))
@@ -395,8 +398,9 @@ POINTS = """points AS (
   'Topic ' || event_id::VARCHAR AS topic_name, moment AS snapshot_time, moment::DATE AS snapshot_date,
   CASE name WHEN 'own' THEN event_type ELSE name END AS brand_name, own AS is_own_brand,
   CASE WHEN name = 'own' THEN value + pos WHEN pos = 0 AND name = 'Rival' THEN value * 2 WHEN pos = 0 THEN value END
-    AS visibility_score, NULL::DOUBLE AS sentiment, NULL::DOUBLE AS avg_position, NULL::DOUBLE AS detection_rate,
-  NULL::DOUBLE AS top3, CASE WHEN name = 'own' AND pos = 0 THEN k END AS mentions,
+    AS visibility_score, CASE WHEN name = 'own' AND pos = 0 THEN value END AS sentiment,
+  CASE WHEN name = 'Rival' AND pos = 0 THEN value END AS avg_position,
+  CASE WHEN name = 'own' THEN value END AS detection_rate, CASE WHEN name = 'Rival' THEN value END AS top3, CASE WHEN name = 'own' AND pos = 0 THEN k END AS mentions,
   CASE WHEN name = 'Rival' OR (name IS NULL AND pos = 0) THEN k END AS citations
 FROM points""")
 def flatten_report(t: Tables) -> DataFrame:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import engine_provider, mean, round_to, url_domain
+from ..functions import engine_provider, iso_week, mean, round_to, safe_divide, total, url_domain
 from ..operators import eav
-from ..operators.mentions import detection_metrics, mention_rank as rank_mentions, mentions
+from ..operators.mentions import detection_metrics, mention_rank as rank_mentions, mentions, words_of
 from ..operators.rank import split_rank
 from ..operators.trend import change_from_previous, moving_average, weekly_values
-from ..functions import total
 from ..plans import layers, reports
+from ..sources import freshness
 from . import bindings as b
 from .base import Tables, query
 
@@ -114,8 +114,6 @@ SELECT *, CASE WHEN l_extendedprice_change > 0 THEN 'up' WHEN l_extendedprice_ch
   (PARTITION BY l_suppkey ORDER BY week) AS l_extendedprice_change FROM weekly)""")
 def weekly_trend_large(t: Tables) -> DataFrame:
     """Weekly means and their change over the largest table."""
-    from ..functions import iso_week
-
     dated = t.lineitem.select("l_suppkey", iso_week("l_shipdate").alias("week"), "l_extendedprice")
     weekly = weekly_values(dated, ["l_suppkey"], "week", ["l_extendedprice"], digits=2)
     return change_from_previous(weekly, ["l_suppkey"], "week", {"l_extendedprice": True})
@@ -142,9 +140,10 @@ def rolling_30d(t: Tables) -> DataFrame:
 ENGINES = ["engine_1", "engine_2", "engine_3", "engine_4", "engine_5"]
 
 
-@query(f"""WITH {b.SNAP_FACT} SELECT topic_id, """ + ", ".join(
-    f"{b.sql_mean('visibility_score', condition=chr(34) + 'engine' + chr(34) + f' = {chr(39)}{e}{chr(39)}')} AS {e}"
-    for e in ENGINES) + " FROM fact GROUP BY ALL")
+HEAT = ", ".join(f"""{b.sql_mean('visibility_score', f"engine = '{engine}'")} AS {engine}""" for engine in ENGINES)
+
+
+@query(f"WITH {b.SNAP_FACT} SELECT topic_id, {HEAT} FROM fact GROUP BY ALL")
 def heatmap_pivot(t: Tables) -> DataFrame:
     return reports.heat_map(_facts(t), ENGINES, digits=2)
 
@@ -169,9 +168,7 @@ def counts_by_dim(t: Tables) -> DataFrame:
 @query(f"""WITH {b.SNAP} SELECT brand_id, max(last_snapshot_at) AS stored_max FROM snap GROUP BY ALL""")
 def stored_marks(t: Tables) -> DataFrame:
     """Newest snapshot per brand."""
-    from ..sources.freshness import stored_marks as marks
-
-    return marks(b.snapshots(t))
+    return freshness.stored_marks(b.snapshots(t))
 
 
 @query("""SELECT event_type AS brand_name, (sum(k)::BIGINT)::DOUBLE / nullif(count(*), 0) AS mean_sentiment FROM
@@ -280,8 +277,6 @@ ranked AS (SELECT *, rank() OVER (PARTITION BY doc_id ORDER BY first_position) A
 
 def _ranked_mentions(t: Tables) -> DataFrame:
     """Brands whose spellings are the first words of the benchmark texts, found in all documents."""
-    from ..operators.mentions import words_of
-
     names = t.benchmark.select(
         F.concat(F.lit("brand-"), F.floor(F.col("item_id") / 10).cast("string")).alias("brand_name"),
         words_of(F.col("text"))[0].alias("spelling"),
@@ -454,8 +449,6 @@ def engine_providers(t: Tables) -> DataFrame:
 FROM lineitem""")
 def safe_ratios(t: Tables) -> DataFrame:
     """Safe division and rounding on every row."""
-    from ..functions import safe_divide
-
     ratio = safe_divide(F.col("l_extendedprice"), F.col("l_discount") * 100)
     return t.lineitem.select("l_orderkey", "l_linenumber", round_to(ratio, 1).alias("ratio"))
 

@@ -1,6 +1,6 @@
 import datetime as dt
 import random
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F

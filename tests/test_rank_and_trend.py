@@ -1,6 +1,5 @@
 import random
 
-from pyspark.sql import functions as F
 
 from citelight.operators.rank import rank_in_group, split_rank
 from citelight.operators.trend import change_from_previous, moving_average, weekly_values

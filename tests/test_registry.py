@@ -5,7 +5,8 @@ import os
 import pytest
 
 import parity
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from citelight.registry import ORACLE, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -20,21 +21,21 @@ def con():
     return parity.connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_its_sql(spark, con, name):
-    assert parity.compare(spark, con, name, queries()[name], oracle_sql()[name], FOLDER) is None
+    assert parity.compare(spark, con, name, QUERIES[name], ORACLE[name], FOLDER) is None
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan(spark, plan_of, name):
-    plan = plan_of(queries()[name](spark, FOLDER))
+    plan = plan_of(QUERIES[name](spark, FOLDER))
     assert not [word for word in FORBIDDEN if word in plan]
     # A window without partition would pull all rows into one task.
     assert "Window [" not in plan or "Exchange SinglePartition, ENSURE" not in plan.split("Window [")[1][:400]
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):
@@ -49,11 +50,11 @@ def test_entry(spark):
     ("moving_avg_7", {"ts", "event_type", "value"}),
 ])
 def test_only_needed_columns_are_read(spark, plan_of, name, columns):
-    plan = plan_of(queries()[name](spark, FOLDER))
+    plan = plan_of(QUERIES[name](spark, FOLDER))
     schema = plan.split("ReadSchema: struct<")[1].split(">")[0]
     assert {field.split(":")[0] for field in schema.split(",")} == columns
 
 
 @pytest.mark.parametrize("name", ["tag_filter", "sentiment_by_model", "product_breakdown"])
 def test_filters_reach_the_scan(spark, plan_of, name):
-    assert "PushedFilters: [IsNotNull" in plan_of(queries()[name](spark, FOLDER))
+    assert "PushedFilters: [IsNotNull" in plan_of(QUERIES[name](spark, FOLDER))

@@ -78,15 +78,19 @@ def crossing_pairs(members: DataFrame) -> DataFrame:
 
 def link_through(
     keys: DataFrame,
-    verify: Callable[[DataFrame], DataFrame],
+    load: Callable[[DataFrame], DataFrame],
+    verify: Callable[[DataFrame, DataFrame], DataFrame],
     refine: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Verified links (a, b) that connect the same nodes as all links between nodes with a common key.
 
+    ``load`` gives what is compared (one row per node) for the nodes that share a key with others;
+    ``verify`` takes pairs and that table and returns the pairs that link.
+
     1. Every node is compared with the smallest node of each of its keys.
     2. Keys whose nodes are now all connected are done: whatever else links in
        them changes no component.
-    3. For the nodes of the other keys ``refine`` (given a column ``node``) may
+    3. For the nodes of the other keys ``refine`` (given their rows of the loaded table) may
        name narrower keys that all their links share; those take steps 1 and 2 in turn.
     4. Of what is left, nodes of different components are compared pair by pair.
 
@@ -94,12 +98,13 @@ def link_through(
     components is lost.
     """
     members = staged(shared_keys(keys), "members")
-    links = staged(verify(pivot_pairs(members)), "links")
+    held = staged(load(members.select("node").distinct()), "held")
+    links = staged(verify(pivot_pairs(members), held), "links")
     open_keys = staged(undecided(members, components(links)), "open")
     if refine is not None:
-        members = staged(shared_keys(refine(open_keys.select("node").distinct())), "members")
-        known = components(links)
-        tagged = undecided(members, known).select("key", "node")
-        links = links.unionByName(staged(verify(pivot_pairs(shared_keys(tagged))), "links"))
+        open_nodes = open_keys.select("node").distinct()
+        members = staged(shared_keys(refine(held.join(open_nodes, "node", "left_semi"))), "members")
+        tagged = undecided(members, components(links)).select("key", "node")
+        links = links.unionByName(staged(verify(pivot_pairs(shared_keys(tagged)), held), "links"))
         open_keys = staged(undecided(members, components(links)), "open")
-    return links.unionByName(staged(verify(crossing_pairs(open_keys)), "links"))
+    return links.unionByName(staged(verify(crossing_pairs(open_keys), held), "links"))

@@ -67,10 +67,10 @@ def _signer(width: int):
                 one, two = _digests(values, first)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id"), pa.array(counts.astype(np.int64)), pa.array(one), pa.array(two),
+                        part.column("doc_id"), part.column("text_hash"), pa.array(counts.astype(np.int64)), pa.array(one), pa.array(two),
                         pa.ListArray.from_arrays(pa.array(bounds), pa.array(joined.reshape(-1).view(np.int64))),
                     ],
-                    ["doc_id", "n_shingles", "set_a", "set_b", "collections"],
+                    ["doc_id", "text_hash", "n_shingles", "set_a", "set_b", "collections"],
                 )
 
     return sign
@@ -84,8 +84,10 @@ def mix_high(values: np.ndarray, factor: np.uint64) -> np.ndarray:
 def signatures(docs: DataFrame, width: int) -> DataFrame:
     """Per row: ``doc_id``, size and name of its shingle set, and the collections' values."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        _signer(width), f"doc_id {kind}, n_shingles long, set_a long, set_b long, collections array<long>"
+    text = F.col("text").cast("string")
+    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_hash")).mapInArrow(
+        _signer(width),
+        f"doc_id {kind}, text_hash long, n_shingles long, set_a long, set_b long, collections array<long>",
     )
 
 
@@ -115,7 +117,7 @@ def _comparer(width: int, percent: int):
     return compare
 
 
-def _rare_first(width: int, percent: int, texts: DataFrame):
+def _rare_first(width: int, percent: int):
     """Narrower keys: of every set, the rarest shingles it cannot miss with all of a similar set.
 
     A similar set shares at least ``percent`` of a set's n shingles, so of any
@@ -133,29 +135,27 @@ def _rare_first(width: int, percent: int, texts: DataFrame):
                     [pa.array(node), pa.array(size), pa.array(values.view(np.int64))], ["node", "n", "key"]
                 )
 
-    def refine(wanted: DataFrame) -> DataFrame:
-        rows = texts.join(wanted, "node", "left_semi").select("node", "text").mapInArrow(
-            shingles, "node long, n long, key long"
-        )
-        rows = staged(rows, "shingles")
-        held = rows.groupBy("key").agg(F.count("*").alias("held"))
-        ranked = rows.join(held, "key").groupBy("node").agg(
-            F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("held", "key"))).alias("all")
+    def refine(held: DataFrame) -> DataFrame:
+        rows = staged(held.select("node", "text").mapInArrow(shingles, "node long, n long, key long"), "shingles")
+        often = rows.groupBy("key").agg(F.count("*").alias("holders"))
+        ranked = rows.join(often, "key").groupBy("node").agg(
+            F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("holders", "key"))).alias("all")
         )
         least = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
         taken = ranked.select("node", F.explode(F.slice("all", F.lit(1), least.cast("int"))).alias("s"))
-        return taken.where("s.held > 1").select("s.key", "node")
+        return taken.where("s.holders > 1").select("s.key", "node")
 
     return refine
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
+    """Per row of ``docs`` (doc_id, text): doc_id, text_hash, n_shingles, component_id, kept.
 
     Words are runs of anything but ASCII white space, with A-Z read as a-z. Two rows
     are linked when ``100 * shared >= percent * all`` of their distinct shingles of
     ``width`` words (a shorter text is one shingle). ``component_id`` is the smallest
-    doc_id reachable over links; rows without shingles stand alone.
+    doc_id reachable over links; rows without shingles stand alone. ``text_hash`` (xxhash64) tells
+    rows apart that share an id.
     """
     signed = staged(signatures(docs, width), "signatures")
     sets = signed.where("n_shingles > 0").groupBy("set_a", "set_b").agg(
@@ -164,50 +164,53 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
     nodes = staged(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
     keys = _table_keys(nodes)
-    texts = _texts_of(docs, nodes.select("node", "doc_id", "set_a", "set_b"), width)
-    links = link_through(keys, _verifier(nodes, texts, width, percent), _rare_first(width, percent, texts))
+    links = link_through(
+        keys, lambda wanted: _texts_of(docs, nodes.join(wanted, "node", "left_semi"), width),
+        _verifier(width, percent), _rare_first(width, percent),
+    )
     found = components(links)
     named = nodes.join(found, "node", "left").select(
         "set_a", "set_b", "doc_id", F.coalesce("component", "node").alias("component")
     )
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = named.join(smallest, "component").select("set_a", "set_b", "component_id")
-    alone = signed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    alone = signed.where("n_shingles = 0").select(
+        "doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id")
+    )
     joined = signed.where("n_shingles > 0").join(named, ["set_a", "set_b"]).select(
-        "doc_id", "n_shingles", "component_id"
+        "doc_id", "text_hash", "n_shingles", "component_id"
     )
     return joined.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def _texts_of(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """``node``, ``text``: of every set one text that has it (rows may share an id, so sets are compared)."""
+    """``node``, ``n_shingles``, ``text``: of every set one text that has it (rows may share an id, so sets are compared)."""
     rows = docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("text"))
-    paired = rows.join(nodes, F.col("_id").eqNullSafe(F.col("doc_id"))).select("node", "set_a", "set_b", "text")
+    paired = rows.join(nodes, F.col("_id").eqNullSafe(F.col("doc_id"))).select(
+        "node", "n_shingles", "set_a", "set_b", "text"
+    )
 
     def same_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 one, two = _digests(*_sets(part.column("text"), width))
                 right = (one == part.column("set_a").to_numpy()) & (two == part.column("set_b").to_numpy())
-                yield part.select(["node", "text"]).filter(pa.array(right))
-
-    return paired.mapInArrow(same_set, "node long, text string").groupBy("node").agg(F.min("text").alias("text"))
+                yield part.select(["node", "n_shingles", "text"]).filter(pa.array(right))
 
+    found = paired.mapInArrow(same_set, "node long, n_shingles long, text string")
+    return found.dropDuplicates(["node"])
 
-def _verifier(nodes: DataFrame, texts: DataFrame, width: int, percent: int):
-    sizes = nodes.select("node", "n_shingles")
 
-    def verify(pairs: DataFrame) -> DataFrame:
+def _verifier(width: int, percent: int):
+    def verify(pairs: DataFrame, held: DataFrame) -> DataFrame:
+        sizes = held.select("node", "n_shingles")
         sized = (
             pairs.join(sizes.select(F.col("node").alias("a"), F.col("n_shingles").alias("_na")), "a")
             .join(sizes.select(F.col("node").alias("b"), F.col("n_shingles").alias("_nb")), "b")
             .where(F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * percent).select("a", "b")
         )
-        sized = staged(sized, "pairs")
-        wanted = sized.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        own = staged(texts.join(wanted, "node", "left_semi"), "texts")
-        both = sized.join(own.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
-            own.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
+        both = sized.join(held.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
+            held.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
         )
         return both.mapInArrow(_comparer(width, percent), "a long, b long")
 

@@ -45,6 +45,8 @@ SAMPLE_IDS = 2048
 DICTIONARY_BYTES = 64 << 10
 #: A file is closed once it holds this much.
 FILE_BYTES = 256 << 20
+#: Tasks that read files at most at a time, each one file after the other.
+READERS = 10_000
 #: Pieces a task remembers.
 REMEMBERED = 400_000
 
@@ -276,7 +278,8 @@ def read(folder: str, dictionary: bytes, listed: DataFrame) -> DataFrame:
     earlier = Window.orderBy("piece", "rank").rowsBetween(Window.unboundedPreceding, -1)
     # One row per file.
     starts = files.select("name", F.coalesce(F.sum("ids").over(earlier), F.lit(0)).alias("_before"))
-    found = files.repartition(F.col("name")).select("name").mapInArrow(
+    # A file is read by one task; a number is given so that the few rows of the list are not gathered in one.
+    found = files.select("name").repartition(min(max(files.count(), 1), READERS)).mapInArrow(
         _reader(folder, dictionary), "name string, position long, in_file long, n_tokens long, ids_crc32 long"
     )
     placed = found.join(starts, "name").withColumn("start", F.col("_before") + F.col("in_file"))

@@ -46,33 +46,43 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def shared_keys(keys: DataFrame) -> DataFrame:
-    """The rows (key, node) whose key is held by two nodes or more, with the smallest of them as ``pivot``."""
+    """The rows of ``keys`` (key, node, ...) whose key is held by two nodes or more, with one of them as ``pivot``.
+
+    The pivot is the node of the smallest ``rank`` where there is such a column, else the smallest node.
+    """
+    ranked = "rank" in keys.columns
+    first = F.min(F.struct("rank", "node"))["node"] if ranked else F.min("node")
     pivots = (
-        keys.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("_last"))
-        .where("pivot < _last").select("key", "pivot")
+        keys.groupBy("key").agg(first.alias("pivot"), F.min("node").alias("_first"), F.max("node").alias("_last"))
+        .where("_first < _last").select("key", "pivot")
     )
-    return keys.join(pivots, "key")
+    return keys.drop("pivot").join(pivots, "key")
 
 
 def pivot_pairs(members: DataFrame) -> DataFrame:
     """Each node with the pivots of its keys: as many pairs as members, however large a key's group is."""
-    return members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    ends = F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")
+    return members.where("node <> pivot").select(*ends).distinct()
 
 
 def undecided(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Members (key, node, component) of keys whose nodes still lie in several components."""
-    tagged = members.select("key", "node").join(found, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component")
+    """``members`` with their ``component``, of keys whose nodes still lie in several components."""
+    tagged = members.drop("component").join(found, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
     )
     mixed = tagged.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"))
     return tagged.join(mixed.where("_lo < _hi").select("key"), "key", "left_semi")
 
 
-def crossing_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of nodes with a common key that lie in different components."""
-    left = members.select("key", F.col("node").alias("a"), F.col("component").alias("_ca"))
-    right = members.select("key", F.col("node").alias("b"), F.col("component").alias("_cb"))
-    pairs = left.join(right, "key").where("a < b AND _ca <> _cb")
+def crossing_pairs(members: DataFrame, plausible: str = "true") -> DataFrame:
+    """Pairs of nodes with a common key that lie in different components, where ``plausible``.
+
+    That condition sees the other columns of ``members`` with the suffixes _a and _b.
+    """
+    rest = [c for c in members.columns if c not in ("key", "node")]
+    left = members.select("key", F.col("node").alias("a"), *[F.col(c).alias(f"{c}_a") for c in rest])
+    right = members.select("key", F.col("node").alias("b"), *[F.col(c).alias(f"{c}_b") for c in rest])
+    pairs = left.join(right, "key").where("a < b AND component_a <> component_b").where(plausible)
     return pairs.select("a", "b").distinct()
 
 
@@ -81,6 +91,7 @@ def link_through(
     load: Callable[[DataFrame], DataFrame],
     verify: Callable[[DataFrame, DataFrame], DataFrame],
     refine: Callable[[DataFrame], DataFrame] | None = None,
+    plausible: str = "true",
 ) -> DataFrame:
     """Verified links (a, b) that connect the same nodes as all links between nodes with a common key.
 
@@ -91,8 +102,10 @@ def link_through(
     2. Keys whose nodes are now all connected are done: whatever else links in
        them changes no component.
     3. For the nodes of the other keys ``refine`` (given their rows of the loaded table) may
-       name narrower keys that all their links share; those take steps 1 and 2 in turn.
-    4. Of what is left, nodes of different components are compared pair by pair.
+       name narrower keys that all their links share, with a ``rank`` that is lowest for the node
+       likeliest to link with the others; those take steps 1 and 2 in turn.
+    4. Of what is left, nodes of different components are compared pair by pair, where ``plausible``
+       (see :func:`crossing_pairs`) does not rule a link out.
 
     So copies of one text are never paired among themselves, and no link between
     components is lost.
@@ -102,9 +115,9 @@ def link_through(
     links = staged(verify(pivot_pairs(members), held), "links")
     open_keys = staged(undecided(members, components(links)), "open")
     if refine is not None:
-        open_nodes = open_keys.select("node").distinct()
-        members = staged(shared_keys(refine(held.join(open_nodes, "node", "left_semi"))), "members")
-        tagged = undecided(members, components(links)).select("key", "node")
+        narrower = refine(held.join(open_keys.select("node").distinct(), "node", "left_semi"))
+        members = staged(narrower, "members")
+        tagged = undecided(members, components(links))
         links = links.unionByName(staged(verify(pivot_pairs(shared_keys(tagged)), held), "links"))
         open_keys = staged(undecided(members, components(links)), "open")
-    return links.unionByName(staged(verify(crossing_pairs(open_keys), held), "links"))
+    return links.unionByName(staged(verify(crossing_pairs(open_keys, plausible), held), "links"))

@@ -25,6 +25,8 @@ from ..session import staged
 from .graph import components, link_through
 from .tokens import SPACED_WORDS, distinct_per_row, mix, seeds, shingle_hashes, slices, token_hashes
 
+#: Words of 64 bits in the parity sketch of a set.
+SKETCH = [f"sketch_{k}" for k in range(8)]
 COLLECTIONS = 12
 PER_COLLECTION = 2
 
@@ -42,6 +44,19 @@ def _digests(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndar
     return (one[first[1:]] - one[first[:-1]]).view(np.int64), (two[first[1:]] - two[first[:-1]]).view(np.int64)
 
 
+def _sketches(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A bit per hash group of shingles: whether the set has an odd number of them.
+
+    Every shingle that only one of two sets has flips one bit, so the bits in which two
+    sketches differ are at most the shingles in which the sets differ.
+    """
+    out = np.zeros((len(first) - 1, len(SKETCH)), np.uint64)
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    group = mix(values) >> np.uint64(55)
+    np.bitwise_xor.at(out, (row, (group >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (group & np.uint64(63)))
+    return out.view(np.int64)
+
+
 def _signer(width: int):
     factors = seeds(7, COLLECTIONS * PER_COLLECTION)
 
@@ -122,7 +137,9 @@ def _rare_first(width: int, percent: int):
 
     A similar set shares at least ``percent`` of a set's n shingles, so of any
     n - ceil(n * percent / 100) + 1 of them it shares one. With the rarest taken, a passage
-    or template that many documents hold stops being a key.
+    or template that many documents hold stops being a key. ``size`` is the set's, ``shared``
+    how many of its shingles another set has at all: no link can be made of more. The
+    set with the smallest part of its own ranks first; among edited copies that is the original.
     """
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,11 +156,14 @@ def _rare_first(width: int, percent: int):
         rows = staged(held.select("node", "text").mapInArrow(shingles, "node long, n long, key long"), "shingles")
         often = rows.groupBy("key").agg(F.count("*").alias("holders"))
         ranked = rows.join(often, "key").groupBy("node").agg(
-            F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("holders", "key"))).alias("all")
+            F.max("n").alias("size"), F.count_if(F.col("holders") > 1).alias("shared"),
+            F.sort_array(F.collect_list(F.struct("holders", "key"))).alias("all"),
+        )
+        least = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
+        taken = ranked.select("node", "size", "shared", F.explode(F.slice("all", F.lit(1), least.cast("int"))).alias("s"))
+        return taken.where("s.holders > 1").join(held.select("node", *SKETCH), "node").select(
+            "s.key", "node", "size", "shared", (1 - F.col("shared") / F.col("size")).alias("rank"), *SKETCH
         )
-        least = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-        taken = ranked.select("node", F.explode(F.slice("all", F.lit(1), least.cast("int"))).alias("s"))
-        return taken.where("s.holders > 1").select("s.key", "node")
 
     return refine
 
@@ -167,6 +187,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     links = link_through(
         keys, lambda wanted: _texts_of(docs, nodes.join(wanted, "node", "left_semi"), width),
         _verifier(width, percent), _rare_first(width, percent),
+        # shared part / joint part >= percent / 100: the shared part is at most either set's ``shared``,
+        # and the part that only one set has at least the bits in which the sketches differ.
+        plausible=f"least(shared_a, shared_b) * {100 + percent} >= (size_a + size_b) * {percent} AND ("
+        + " + ".join(f"bit_count({word}_a ^ {word}_b)" for word in SKETCH)
+        + f") * {100 + percent} <= (size_a + size_b) * {100 - percent}",
     )
     found = components(links)
     named = nodes.join(found, "node", "left").select(
@@ -193,11 +218,16 @@ def _texts_of(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     def same_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                one, two = _digests(*_sets(part.column("text"), width))
+                values, first = _sets(part.column("text"), width)
+                one, two = _digests(values, first)
                 right = (one == part.column("set_a").to_numpy()) & (two == part.column("set_b").to_numpy())
-                yield part.select(["node", "n_shingles", "text"]).filter(pa.array(right))
+                words = [pa.array(w) for w in np.ascontiguousarray(_sketches(values, first).T)]
+                own = [part.column(c) for c in ("node", "n_shingles", "text")]
+                made = pa.RecordBatch.from_arrays([*own, *words], ["node", "n_shingles", "text", *SKETCH])
+                yield made.filter(pa.array(right))
 
-    found = paired.mapInArrow(same_set, "node long, n_shingles long, text string")
+    schema = "node long, n_shingles long, text string, " + ", ".join(f"{word} long" for word in SKETCH)
+    found = paired.mapInArrow(same_set, schema)
     return found.dropDuplicates(["node"])
 
 

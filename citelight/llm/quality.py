@@ -1,7 +1,7 @@
 """Importance resampling: documents that read like a target, by hashed n-gram models.
 
-Two generative models over hashed word n-grams are counted, one over the target texts, one over
-all texts. A document's log weight is the mean log ratio of its n-grams, scaled to ``SCALE``
+Two generative models over hashed word n-grams are counted, one over at most ``TARGET_ROWS``
+target texts, one over all texts. A document's log weight is the mean log ratio of its n-grams, scaled to ``SCALE``
 n-grams so that long texts have no advantage; few n-grams are drawn towards 0. A Gumbel
 variable, a function of the document, is added, and the documents with the largest sums are
 a sample without replacement in proportion to the weights. The cut is exact: ranks are prefix
@@ -25,6 +25,8 @@ from .prefix import running_totals
 from .tokens import WORDS_AND_MARKS, mix, seeds, slices, token_hashes
 
 SLOTS = 1 << 18
+#: Labelled documents that the target model is learned from at most; their ids fit into any task.
+TARGET_ROWS = 20_000
 SCALE = 500.0
 #: n-grams of ratio 1 that every document is taken to have besides its own.
 PRIOR = 20.0
@@ -53,6 +55,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["slot", "n"])
 
 
+def target_rows(docs: DataFrame, good: DataFrame, rows: int = TARGET_ROWS) -> DataFrame:
+    """The documents named in ``good`` (doc_id), at most ``rows`` ids of them, those with the smallest hash."""
+    ids = good.where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return docs.join(F.broadcast(ids), "doc_id", "left_semi")
+
+
 def gram_counts(texts: DataFrame) -> np.ndarray:
     """How often each of the ``SLOTS`` hashed n-grams occurs; tasks send one sum per slot."""
     rows = texts.select(F.col("text").cast("string").alias("text")).mapInArrow(_count, "slot long, n long")

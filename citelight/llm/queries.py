@@ -163,7 +163,7 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     labels = _read(spark, folder, "labels").where("quality IS NOT NULL OR toxic IS NOT NULL")
     good = F.coalesce((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), F.lit(False))
     share = labels.agg(F.avg(good.cast("double"))).first()[0]
-    target = docs.join(labels.where(good).select("doc_id").distinct(), "doc_id", "left_semi")
+    target = quality.target_rows(docs, labels.where(good).select("doc_id"))
     return quality.resample(docs, target, 1.0 if share is None else share)
 
 

@@ -30,6 +30,10 @@ ROWS_PER_LANGUAGE = 1000
 DIMENSIONS = 4096
 ORDERS = (1, 2, 3)
 UNKNOWN = "und"
+#: Bytes and rows whose n-grams are counted at a time.
+SLICE = (1 << 20, 512)
+#: Sampled rows up to which their keys go to all tasks.
+FEW_KEYS = 100_000
 
 #: Families of language codes. A code that is not listed is a family of its own.
 FAMILIES = {
@@ -54,14 +58,14 @@ def family_of(language: str) -> str:
     return next((f for f, codes in FAMILIES.items() if code in codes.split()), language)
 
 
-def features(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Slots of all n-grams of all rows, each n-gram's row, and the n-grams of each row."""
+def shares(text: pa.Array) -> np.ndarray:
+    """A row per text: the share of its n-grams in each of the ``DIMENSIONS`` slots, scaled to a mean square near 1."""
     data, rows = bytes_of(text)
-    data = LOWER[data]
-    owner = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
+    n = len(rows) - 1
+    owner = np.repeat(np.arange(n), np.diff(rows))
     digit = (data >= 48) & (data <= 57)
-    data, owner = data[~digit], owner[~digit]
-    slots, owners = [], []
+    data, owner = LOWER[data[~digit]], owner[~digit]
+    counts = np.zeros(n * DIMENSIONS, np.int64)
     for order in ORDERS:
         if len(data) < order:
             continue
@@ -70,12 +74,10 @@ def features(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             gram = gram * np.uint32(257) + data[k: len(data) - order + 1 + k]
         inside = owner[order - 1:] == owner[: len(owner) - order + 1]
         spread = gram * np.uint32(2654435761) + np.uint32(order)
-        slots.append((spread >> np.uint32(20)).astype(np.int32)[inside])
-        owners.append(owner[order - 1:][inside])
-    if not slots:
-        return np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(len(rows) - 1)
-    at = np.concatenate(owners)
-    return np.concatenate(slots), at, np.bincount(at, minlength=len(rows) - 1)
+        slot = (spread >> np.uint32(20)).astype(np.int64) + owner[order - 1:] * DIMENSIONS
+        counts += np.bincount(slot[inside], minlength=n * DIMENSIONS)
+    counts = counts.reshape(n, DIMENSIONS)
+    return np.sqrt(DIMENSIONS) * counts / np.maximum(counts.sum(axis=1), 1)[:, None]
 
 
 @dataclass
@@ -96,20 +98,20 @@ def sample(labelled: DataFrame, rows: int = ROWS_PER_LANGUAGE) -> DataFrame:
     by_key = Window.partitionBy("lang").orderBy("_key")
     keys = known.select("lang", F.xxhash64("text").alias("_key")).distinct()
     chosen = keys.withColumn("_place", F.row_number().over(by_key)).where(F.col("_place") <= rows).drop("_place")
+    chosen = staged(chosen, "chosen")
+    if chosen.count() <= FEW_KEYS:
+        chosen = F.broadcast(chosen)
     same = known.withColumn("_key", F.xxhash64("text")).join(chosen, ["lang", "_key"], "left_semi")
     return same.dropDuplicates(["lang", "_key"]).select("lang", "text")
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text"):
-            slot, row, grams = features(part.column("text"))
-            n = part.num_rows
-            counts = np.bincount(row * DIMENSIONS + slot, minlength=n * DIMENSIONS).reshape(n, DIMENSIONS)
-            shares = np.sqrt(DIMENSIONS) * counts / np.maximum(grams, 1)[:, None]
-            bounds = np.arange(n + 1, dtype=np.int32) * DIMENSIONS
+        for part in slices(batch, "text", *SLICE):
+            own = shares(part.column("text"))
+            bounds = np.arange(len(own) + 1, dtype=np.int32) * DIMENSIONS
             yield pa.RecordBatch.from_arrays(
-                [part.column("lang"), pa.ListArray.from_arrays(pa.array(bounds), pa.array(shares.reshape(-1)))],
+                [part.column("lang"), pa.ListArray.from_arrays(pa.array(bounds), pa.array(own.reshape(-1)))],
                 ["lang", "shares"],
             )
 
@@ -145,7 +147,7 @@ def train(labelled: DataFrame, rows: int = ROWS_PER_LANGUAGE) -> Model:
 
 def _predictor(model: Model):
     weights = np.concatenate([model.family_weights, model.pair_weights])
-    tables, intercepts = np.sqrt(DIMENSIONS) * weights[:, :DIMENSIONS], weights[:, DIMENSIONS]
+    tables, intercepts = weights[:, :DIMENSIONS], weights[:, DIMENSIONS]
     names = np.array(model.languages + [UNKNOWN], object)
     home = np.array([model.families.index(family_of(x)) for x in model.languages], np.int64)
     n_family = len(model.family_weights)
@@ -155,13 +157,9 @@ def _predictor(model: Model):
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", *SLICE):
                 n = part.num_rows
-                slot, row, grams = features(part.column("text"))
-                margins = np.array([
-                    np.bincount(row, weights=table[slot], minlength=n) / np.maximum(grams, 1) + b
-                    for table, b in zip(tables, intercepts)
-                ]).reshape(len(tables), n)
+                margins = tables @ shares(part.column("text")).T + intercepts[:, None]
                 if n_family:
                     family = margins[:n_family].argmax(axis=0)
                     score = chance(margins[:n_family].max(axis=0))

@@ -62,16 +62,15 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Consecutive rows of a batch, cut where the text column reaches ``limit`` bytes."""
+def slices(
+    batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES, rows: int = 1 << 20
+) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of a batch, cut where the text column reaches ``limit`` bytes or there are ``rows``."""
     text = batch.column(column)
-    sizes = np.array(text.is_null().to_numpy(zero_copy_only=False) * 0, np.int64)
-    if len(text):
-        ends = offsets_of(text)
-        sizes = np.diff(ends)
+    sizes = np.diff(offsets_of(text)) if len(text) else np.zeros(0, np.int64)
     start, held = 0, 0
     for row, size in enumerate(sizes.tolist()):
-        if row > start and held + size > limit:
+        if row > start and (held + size > limit or row - start >= rows):
             yield batch.slice(start, row - start)
             start, held = row, 0
         held += size

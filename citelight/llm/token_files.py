@@ -11,9 +11,7 @@ task encodes its documents in order and appends one compressed frame each to a f
 A file names the dictionary it needs by hash; the dictionary lies beside the files under that
 name. With the index any single document is read with two small reads.
 
-The tokenizer's splitting never joins a character with white space after it, so a text may be cut
-before every space that follows a non-space: the pieces are encoded once per task and their ids
-joined. Texts with other white space before a space are encoded whole.
+Words that a process has met are not encoded again (see :class:`Encoder`).
 
 Rows: a null or empty text has the end id alone. Rows without doc_id come first. Rows that repeat an
 id follow each other, ordered by text; equal rows are interchangeable. Other columns are ignored whatever their names. An
@@ -23,9 +21,9 @@ empty table gives no file and an empty result.
 from __future__ import annotations
 
 import hashlib
-import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,48 +45,88 @@ DICTIONARY_BYTES = 64 << 10
 FILE_BYTES = 256 << 20
 #: Tasks that read files at most at a time, each one file after the other.
 READERS = 10_000
-#: Pieces a task remembers.
-REMEMBERED = 400_000
+#: Words and word stems a process remembers.
+REMEMBERED = 1_500_000
 
 _HEADER = "<8sI32s"
 _FOOTER = "<QQ8s"
-_LOOSE = re.compile(r"\s ")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself if visible, else the next from 256 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = (b for b in range(256) if b not in visible)
+    return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+_LETTERS = _byte_letters()
+_SPACE, _FEED = _LETTERS[32], _LETTERS[10]
+_MARKS = ".,;:!?"
 
 
 class Encoder:
-    """Ids of whole texts as little-endian 32-bit bytes."""
+    """Ids of whole texts as little-endian 32-bit bytes.
+
+    The vocabulary's splitting cuts a text before a single space or line feed between other
+    characters, after such a line feed, and between letters and closing marks; what lies between
+    is encoded once and remembered. Other texts and words go to the tokenizer as they are.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.cores: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces in one go, each after the space it follows."""
-        joined = " " + " ".join(pieces)
-        found = self.tokenizer.encode(joined, add_special_tokens=False)
-        ids = np.array(found.ids, "<u4")
-        starts = np.cumsum([0] + [len(p) + 1 for p in pieces[:-1]])
-        places = np.array([a for a, _ in found.offsets], np.int64)
-        cuts = np.searchsorted(places, starts[1:])
-        blob, bounds = ids.tobytes(), [0, *(4 * cuts).tolist(), 4 * len(ids)]
-        self.known.update(zip(pieces, (blob[a:b] for a, b in zip(bounds, bounds[1:]))))
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _core(self, letters: str) -> bytes:
+        known = self.cores.get(letters)
+        if known is None:
+            known = self.cores[letters] = array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+        return known
+
+    def _word(self, word: str) -> bytes:
+        """A word after a space or, if it begins with one, after a line feed."""
+        plain = word[1:] if word[0] == "\n" else word
+        core = plain.rstrip(_MARKS)
+        # Letters of the Latin blocks are letters in every version of Unicode.
+        if core.isalpha() and (core.isascii() or max(core) < "\u0250"):
+            letters = core if core.isascii() else core.encode().decode("latin-1").translate(_LETTERS)
+            before, lead = (self._core(_FEED), "") if plain is not word else (b"", _SPACE)
+            tail = plain[len(core):]
+            return before + self._core(lead + letters) + (self._core(tail) if tail else b"")
+        return self.whole(word if plain is not word else " " + word)
 
     def ids(self, text: str) -> bytes:
-        if "<|" in text or _LOOSE.search(text) or text.startswith(" ") or text.endswith(" "):
+        # Equal if all white space is single spaces and line feeds between words.
+        if "<|" in text or text.replace("\n", " ").split(" ") != text.split():
             return self.whole(text)
-        first, *rest = text.split(" ")
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        new = {p for p in rest if p not in known}
-        if new:
-            self._learn(list(new))
-        return self.whole(first) + b"".join([known[p] for p in rest])
+        if len(self.words) + len(self.cores) > REMEMBERED:
+            self.words.clear()
+            self.cores.clear()
+        words = self.words
+        first, *rest = text.replace("\n", " \n").split(" ")
+        try:
+            found = b"".join(map(words.__getitem__, rest))
+        except KeyError:
+            for word in rest:
+                if word not in words:
+                    words[word] = self._word(word)
+            found = b"".join(map(words.__getitem__, rest))
+        return self.whole(first) + found
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """The encoder of this process, which remembers words from one task to the next."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def _end(ids: bytes) -> bytes:
@@ -97,18 +135,20 @@ def _end(ids: bytes) -> bytes:
 
 def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
     """A dictionary from at most ``SAMPLE_ROWS`` documents, ``SAMPLE_IDS`` ids of each; empty if there is too little."""
-    chosen = docs.select(F.col("text").cast("string").alias("text")).where("length(text) > 0")
-    chosen = chosen.orderBy(F.xxhash64("text"), "text").limit(SAMPLE_ROWS)
+    texts = docs.select(F.col("text").cast("string").alias("text")).where("length(text) > 0")
+    keyed = texts.withColumn("_key", F.xxhash64("text"))
+    keys = keyed.select("_key").distinct().orderBy("_key").limit(SAMPLE_ROWS)
+    chosen = keyed.join(F.broadcast(keys), "_key", "left_semi").dropDuplicates(["_key"]).select("text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         for batch in batches:
             made = [_end(encoder.ids(t))[: 4 * SAMPLE_IDS] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["ids"])
 
-    samples = [r[0] for r in chosen.mapInArrow(encode, "ids binary").collect()]
+    samples = sorted(bytes(r[0]) for r in chosen.mapInArrow(encode, "ids binary").collect())
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, [bytes(s) for s in samples]).as_bytes()
+        return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:  # too few or too short samples to learn from
         return b""
 
@@ -141,7 +181,7 @@ def _writer(folder: str, tokenizer: str, dictionary: bytes, file_bytes: int):
         return {"piece": part, "rank": rank, "name": name, "docs": len(ends), "ids": sum(sizes)}
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, compressor = Encoder(tokenizer), _compressor(dictionary)
+        encoder, compressor = encoder_of(tokenizer), _compressor(dictionary)
 
         def rows():
             for batch in batches:

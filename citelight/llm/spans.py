@@ -149,6 +149,6 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
         *[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in names],
         F.lit(0).cast("long").alias("n_pieces"), F.lit(0).cast("long").alias("n_removed"),
         F.array().cast("array<long>").alias("removed"),
-        F.coalesce("_firsts", F.array()).alias("first_docs"), F.lit("").alias("kept_text"), "covered",
+        F.coalesce("_firsts", F.array()).alias("first_docs"), F.lit(None).cast("string").alias("kept_text"), "covered",
     )
     return rows.mapInArrow(_cut, rows.drop("covered").schema)

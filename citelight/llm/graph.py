@@ -6,7 +6,7 @@ executor costs at most one step.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -92,6 +92,7 @@ def link_through(
     verify: Callable[[DataFrame, DataFrame], DataFrame],
     refine: Callable[[DataFrame], DataFrame] | None = None,
     plausible: str = "true",
+    traits: Sequence[str] = (),
 ) -> DataFrame:
     """Verified links (a, b) that connect the same nodes as all links between nodes with a common key.
 
@@ -105,7 +106,8 @@ def link_through(
        name narrower keys that all their links share, with a ``rank`` that is lowest for the node
        likeliest to link with the others; those take steps 1 and 2 in turn.
     4. Of what is left, nodes of different components are compared pair by pair, where ``plausible``
-       (see :func:`crossing_pairs`) does not rule a link out.
+       (see :func:`crossing_pairs`) does not rule a link out. It may use the columns ``traits`` of the
+       loaded table.
 
     So copies of one text are never paired among themselves, and no link between
     components is lost.
@@ -120,4 +122,6 @@ def link_through(
         tagged = undecided(members, components(links))
         links = links.unionByName(staged(verify(pivot_pairs(shared_keys(tagged)), held), "links"))
         open_keys = staged(undecided(members, components(links)), "open")
+    if traits:
+        open_keys = open_keys.join(held.select("node", *traits), "node")
     return links.unionByName(staged(verify(crossing_pairs(open_keys, plausible), held), "links"))

@@ -28,6 +28,9 @@ from .tokens import _powers, mix, slices
 
 EDITS = 2
 LEAST = 32
+#: Bytes of the substrings that a line's parity sketch counts, and the sketch's words of 64 bits.
+GRAM = 4
+SKETCH = ["sketch_0", "sketch_1"]
 #: Lines whose keys a task remembers having sent; sending one twice is harmless.
 REMEMBERED = 100_000
 
@@ -111,6 +114,25 @@ def _keyed(edits: int, least: int):
     return keyed
 
 
+def sketches(lines: list[bytes]) -> np.ndarray:
+    """A bit per hash group of a line's ``GRAM``-byte substrings: whether the line has an odd number of them.
+
+    An edit touches at most ``GRAM`` substrings before and as many after, each flipping one bit.
+    """
+    out = np.zeros((len(lines), len(SKETCH)), np.uint64)
+    data = np.frombuffer(b"".join(lines), np.uint8)
+    owner = np.repeat(np.arange(len(lines)), [len(x) for x in lines])
+    if len(data) >= GRAM:
+        gram = np.zeros(len(data) - GRAM + 1, np.uint64)
+        for k in range(GRAM):
+            gram = gram * np.uint64(257) + data[k: len(data) - GRAM + 1 + k]
+        inside = owner[GRAM - 1:] == owner[: len(owner) - GRAM + 1]
+        group = mix(gram[inside]) >> np.uint64(57)
+        place = (owner[GRAM - 1:][inside], (group >> np.uint64(6)).astype(np.int64))
+        np.bitwise_xor.at(out, place, np.uint64(1) << (group & np.uint64(63)))
+    return out.view(np.int64)
+
+
 def _texts(least: int):
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
@@ -123,8 +145,10 @@ def _texts(least: int):
                 if len(sent) > REMEMBERED:
                     sent.clear()
                 sent.update(own)
+                words = [pa.array(w) for w in np.ascontiguousarray(sketches(list(own.values())).T)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(own), pa.int64()), pa.array(list(own.values()), pa.binary())], ["node", "text"]
+                    [pa.array(list(own), pa.int64()), pa.array(list(own.values()), pa.binary()), *words],
+                    ["node", "text", *SKETCH],
                 )
 
     return texts
@@ -210,7 +234,7 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST) ->
     texts = rows.select("text")
 
     def load(wanted: DataFrame) -> DataFrame:
-        own = texts.mapInArrow(_texts(least), "node long, text binary").join(wanted, "node", "left_semi")
+        own = texts.mapInArrow(_texts(least), "node long, text binary, sketch_0 long, sketch_1 long").join(wanted, "node", "left_semi")
         return own.dropDuplicates(["node"])
 
     def verify(pairs: DataFrame, held: DataFrame) -> DataFrame:
@@ -221,7 +245,8 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST) ->
         return near.mapInArrow(_comparer(edits), "a long, b long")
 
     keys = texts.mapInArrow(_keyed(edits, least), "key long, node long")
-    linked = components(link_through(keys, load, verify))
+    differ = " + ".join(f"bit_count({word}_a ^ {word}_b)" for word in SKETCH)
+    linked = components(link_through(keys, load, verify, None, f"{differ} <= {2 * GRAM * edits}", SKETCH))
     # One row per place of a line that has another place or a near line.
     counts = places.groupBy("node").agg(F.count("*").alias("n"))
     repeated = counts.join(linked, "node", "left").where("n > 1 OR component IS NOT NULL").select(

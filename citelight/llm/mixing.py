@@ -23,7 +23,7 @@ from ..operators.share import join_null_safe
 from ..session import staged
 from .prefix import running_totals
 
-RANGE_ROWS = 100_000
+RANGE_ROWS = 1_000
 WORD = r"[^\x20\x09-\x0D]+"
 PLAN_COLUMNS = ("size", "source_size", "target", "taken", "repeats")
 

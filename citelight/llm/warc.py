@@ -33,6 +33,8 @@ REVISIT_BYTES = 100
 #: An archive is closed once it holds this much, and a reader takes about this much at a time.
 FILE_BYTES = 256 << 20
 RANGE_BYTES = 32 << 20
+#: Tasks that read ranges at most at a time, each one range after the other.
+READERS = 10_000
 DATE = "2000-01-01T00:00:00Z"
 
 CHUNK_ROWS = (
@@ -286,7 +288,9 @@ def read(folder: str, ranges: DataFrame, payload: bool = True) -> DataFrame:
     Digests are computed from the bytes read and compared with the header. Without ``payload`` the bytes are
     checked and left out. A revisit record is one row with the size and digest of the payload it stands for.
     """
-    return ranges.select("name", "start", "end").repartition("name", "start").mapInArrow(_reader(folder, payload), CHUNK_ROWS)
+    # A number is given so that the few rows of the list are not gathered in one task.
+    spread = ranges.select("name", "start", "end").repartition(min(max(ranges.count(), 1), READERS))
+    return spread.mapInArrow(_reader(folder, payload), CHUNK_ROWS)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:

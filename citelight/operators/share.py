@@ -42,7 +42,8 @@ def attach_group_values(
     others = groups.where(F.col(rows) < hot_rows).select(
         *keys, F.lit(0).alias("_salt"), F.struct(*values).alias("_other")
     )
-    salt = F.pmod(F.xxhash64(*[c for c in df.columns if c not in keys]), F.lit(SALTS)).cast("int")
+    # The salt is the row's number in its task, so equal rows of a hot group spread as well.
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
     spread = join_null_safe(df, F.broadcast(hot), keys, "left").withColumn(
         "_salt", F.when(F.col("_hot").isNotNull(), salt).otherwise(F.lit(0))
     )

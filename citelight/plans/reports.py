@@ -29,8 +29,8 @@ DOMAINS_PER_COMPETITOR = 10
 
 
 def recent(df: DataFrame, day: str, as_of: Column, days: int = RECENT_DAYS) -> DataFrame:
-    """Rows of the last ``days`` days."""
-    return df.where(F.col(day) >= F.date_sub(as_of, days))
+    """Rows of the last ``days`` days up to ``as_of``, that day included."""
+    return df.where(F.col(day).between(F.date_sub(as_of, days), as_of))
 
 
 def in_week(df: DataFrame, as_of: Column, week: str = "snapshot_week") -> DataFrame:

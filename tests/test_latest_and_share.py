@@ -109,3 +109,14 @@ def test_share_has_no_window_over_the_group(spark, plan_of):
     df = spark.range(10).select((F.col("id") % 2).alias("t"), F.col("id").cast("double").alias("v"))
     plan = plan_of(share_of_voice(df, "v", ["t"]))
     assert "Window" not in plan and "partial_sum" in plan
+
+
+def test_hot_groups_of_bare_equal_and_map_rows(spark):
+    from citelight.operators.share import attach_group_values
+
+    bare = spark.createDataFrame([("a",)] * 50 + [(None,)] * 30 + [("b",)], "g string")
+    sums = bare.groupBy("g").agg(F.count("*").alias("n"), F.lit(7).alias("v"))
+    found = attach_group_values(bare, sums, ["g"], "n", hot_rows=20)
+    assert found.count() == 81 and found.where("v = 7").count() == 81
+    mapped = bare.withColumn("m", F.create_map(F.lit("k"), F.lit(1)))
+    assert attach_group_values(mapped, sums, ["g"], "n", hot_rows=20).where("v = 7").count() == 81

@@ -31,7 +31,7 @@ DIMENSIONS = 4096
 ORDERS = (1, 2, 3)
 UNKNOWN = "und"
 #: Bytes and rows whose n-grams are counted at a time.
-SLICE = (1 << 20, 512)
+SLICE = (1 << 20, 256)
 #: Sampled rows up to which their keys go to all tasks.
 FEW_KEYS = 100_000
 

@@ -46,7 +46,7 @@ FILE_BYTES = 256 << 20
 #: Tasks that read files at most at a time, each one file after the other.
 READERS = 10_000
 #: Words and word stems a process remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 _HEADER = "<8sI32s"
 _FOOTER = "<QQ8s"

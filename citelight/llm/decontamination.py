@@ -24,12 +24,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .tokens import PLAIN_WORDS, slices, token_hashes
+from .tokens import PLAIN_WORDS, bounded, slices, token_hashes
 
 #: Words of one suffix array; three ranks of it fit into 63 bits.
 SHARD_WORDS = 1 << 20
 #: Bytes of benchmark text that go to the tasks at once.
 BLOCK_BYTES = 8 << 20
+#: Bytes of text that are searched at once.
+SLICE_BYTES = 4 << 20
 OUTPUT = ("n_words", "n_hit", "n_items", "items", "longest_match", "spans")
 _FIELDS = (
     "n_words long, n_hit long, n_items long, items array<string>, longest_match long, spans array<long>"
@@ -168,7 +170,7 @@ def _scanner(items: Items):
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 hashes, _, _, first = token_hashes(part.column("text"), PLAIN_WORDS)
                 sizes = np.diff(first)
                 # A 0 ends every document, so no match runs from one into the next.
@@ -235,7 +237,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_bytes: in
     for block in range(blocks):
         own = texts.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).orderBy("text", "id").toArrow()
         items = read_items(own.column("text").to_pylist(), own.column("id").to_pylist(), width)
-        out = out.mapInArrow(_scanner(items), out.schema)
+        out = bounded(out).mapInArrow(_scanner(items), out.schema)
     return out
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import staged
 from . import fuse
-from .tokens import slices
+from .tokens import bounded, slices
 
 #: Digests per filter; a filter of this size takes about a megabyte.
 BUCKET_ROWS = 1_000_000
@@ -42,7 +42,7 @@ def digests(docs: DataFrame) -> DataFrame:
     """``doc_id`` and the SHA-256 of the normalised text of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.col("text").cast("string").cast("binary").alias("text"))
-    return rows.mapInArrow(_digest, f"doc_id {kind}, digest binary")
+    return bounded(rows).mapInArrow(_digest, f"doc_id {kind}, digest binary")
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
@@ -101,7 +101,7 @@ def _same_bytes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 )
 
     rows = docs.select(F.col("text").cast("string").cast("binary").alias("text"))
-    rows = rows.mapInArrow(texts, "digest binary, plain binary").join(wanted.select("digest"), "digest", "left_semi")
+    rows = bounded(rows).mapInArrow(texts, "digest binary, plain binary").join(wanted.select("digest"), "digest", "left_semi")
     ends = rows.groupBy("digest").agg(F.min("plain").alias("_lo"), F.max("plain").alias("_hi"))
     return ends.where("_lo = _hi").select("digest")
 

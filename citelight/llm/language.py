@@ -24,7 +24,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import staged
-from .tokens import LOWER, bytes_of, mix, slices
+from .tokens import LOWER, bounded, bytes_of, mix, slices
 
 ROWS_PER_LANGUAGE = 1000
 DIMENSIONS = 4096
@@ -125,7 +125,7 @@ def _separate(rows: DataFrame, positive) -> np.ndarray:
 
 def train(labelled: DataFrame, rows: int = ROWS_PER_LANGUAGE) -> Model:
     """Learn from ``labelled`` (text, lang)."""
-    vectors = staged(sample(labelled, rows).repartition(F.xxhash64("text")).mapInArrow(_vectors, "lang string, shares array<double>"), "shares")
+    vectors = staged(bounded(sample(labelled, rows).repartition(F.xxhash64("text"))).mapInArrow(_vectors, "lang string, shares array<double>"), "shares")
     languages = sorted(r[0] for r in vectors.select("lang").distinct().collect())
     families = sorted({family_of(x) for x in languages})
     shaped = vectors.select("lang", array_to_vector("shares").alias("features")).cache()
@@ -198,4 +198,4 @@ def predict(model: Model, docs: DataFrame) -> DataFrame:
         text.alias("text"), *rest, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"),
         F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("_lettered"),
     )
-    return rows.mapInArrow(_predictor(model), rows.schema).drop("_lettered")
+    return bounded(rows).mapInArrow(_predictor(model), rows.schema).drop("_lettered")

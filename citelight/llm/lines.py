@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import staged
 from .graph import components, link_through
-from .tokens import _powers, mix, slices
+from .tokens import _powers, bounded, mix, slices
 
 EDITS = 2
 LEAST = 32
@@ -230,11 +230,11 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST) ->
     text = F.col("text").cast("string")
     rows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    places = staged(rows.mapInArrow(_place, f"node long, doc_id {kind}, text_hash long, line int"), "places")
+    places = staged(bounded(rows).mapInArrow(_place, f"node long, doc_id {kind}, text_hash long, line int"), "places")
     texts = rows.select("text")
 
     def load(wanted: DataFrame) -> DataFrame:
-        own = texts.mapInArrow(_texts(least), "node long, text binary, sketch_0 long, sketch_1 long").join(wanted, "node", "left_semi")
+        own = bounded(texts).mapInArrow(_texts(least), "node long, text binary, sketch_0 long, sketch_1 long").join(wanted, "node", "left_semi")
         return own.dropDuplicates(["node"])
 
     def verify(pairs: DataFrame, held: DataFrame) -> DataFrame:
@@ -242,9 +242,9 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST) ->
             held.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
         )
         near = both.where(F.abs(F.length("text_a") - F.length("text_b")) <= edits)
-        return near.mapInArrow(_comparer(edits), "a long, b long")
+        return bounded(near).mapInArrow(_comparer(edits), "a long, b long")
 
-    keys = texts.mapInArrow(_keyed(edits, least), "key long, node long")
+    keys = bounded(texts).mapInArrow(_keyed(edits, least), "key long, node long")
     differ = " + ".join(f"bit_count({word}_a ^ {word}_b)" for word in SKETCH)
     linked = components(link_through(keys, load, verify, None, f"{differ} <= {2 * GRAM * edits}", SKETCH))
     # One row per place of a line that has another place or a near line.

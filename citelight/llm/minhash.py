@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import staged
 from .graph import components, link_through
-from .tokens import SPACED_WORDS, distinct_per_row, mix, seeds, shingle_hashes, slices, token_hashes
+from .tokens import SPACED_WORDS, bounded, distinct_per_row, mix, seeds, shingle_hashes, slices, token_hashes
 
 #: Words of 64 bits in the parity sketch of a set.
 SKETCH = [f"sketch_{k}" for k in range(8)]
@@ -100,7 +100,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     """Per row: ``doc_id``, size and name of its shingle set, and the collections' values."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = F.col("text").cast("string")
-    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_hash")).mapInArrow(
+    return bounded(docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_hash"))).mapInArrow(
         _signer(width),
         f"doc_id {kind}, text_hash long, n_shingles long, set_a long, set_b long, collections array<long>",
     )
@@ -144,7 +144,7 @@ def _rare_first(width: int, percent: int):
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
+            for part in slices(batch, "text"):
                 values, first = _sets(part.column("text"), width)
                 node = np.repeat(part.column("node").to_numpy(), np.diff(first))
                 size = np.repeat(np.diff(first), np.diff(first))
@@ -153,7 +153,7 @@ def _rare_first(width: int, percent: int):
                 )
 
     def refine(held: DataFrame) -> DataFrame:
-        rows = staged(held.select("node", "text").mapInArrow(shingles, "node long, n long, key long"), "shingles")
+        rows = staged(bounded(held.select("node", "text")).mapInArrow(shingles, "node long, n long, key long"), "shingles")
         often = rows.groupBy("key").agg(F.count("*").alias("holders"))
         ranked = rows.join(often, "key").groupBy("node").agg(
             F.max("n").alias("size"), F.count_if(F.col("holders") > 1).alias("shared"),
@@ -227,7 +227,7 @@ def _texts_of(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
                 yield made.filter(pa.array(right))
 
     schema = "node long, n_shingles long, text string, " + ", ".join(f"{word} long" for word in SKETCH)
-    found = paired.mapInArrow(same_set, schema)
+    found = bounded(paired).mapInArrow(same_set, schema)
     return found.dropDuplicates(["node"])
 
 
@@ -242,6 +242,6 @@ def _verifier(width: int, percent: int):
         both = sized.join(held.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
             held.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
         )
-        return both.mapInArrow(_comparer(width, percent), "a long, b long")
+        return bounded(both).mapInArrow(_comparer(width, percent), "a long, b long")
 
     return verify

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import staged
 from .prefix import running_totals
-from .tokens import WORDS_AND_MARKS, mix, seeds, slices, token_hashes
+from .tokens import WORDS_AND_MARKS, bounded, mix, seeds, slices, token_hashes
 
 SLOTS = 1 << 18
 #: Labelled documents that the target model is learned from at most; their ids fit into any task.
@@ -63,7 +63,7 @@ def target_rows(docs: DataFrame, good: DataFrame, rows: int = TARGET_ROWS) -> Da
 
 def gram_counts(texts: DataFrame) -> np.ndarray:
     """How often each of the ``SLOTS`` hashed n-grams occurs; tasks send one sum per slot."""
-    rows = texts.select(F.col("text").cast("string").alias("text")).mapInArrow(_count, "slot long, n long")
+    rows = bounded(texts.select(F.col("text").cast("string").alias("text"))).mapInArrow(_count, "slot long, n long")
     found = rows.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(SLOTS)
     counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
@@ -103,7 +103,7 @@ def scores(docs: DataFrame, target: DataFrame, seed: int = 0) -> DataFrame:
         text.alias("text"), F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), text).alias("_chance"), *rest,
         F.lit(0).cast("long").alias("n_grams"), F.lit(0.0).alias("log_weight"), F.lit(0.0).alias("sample_key"),
     )
-    return rows.mapInArrow(_scorer(ratios), rows.drop("text", "_chance").schema)
+    return bounded(rows).mapInArrow(_scorer(ratios), rows.drop("text", "_chance").schema)
 
 
 def resample(docs: DataFrame, target: DataFrame, share: float, seed: int = 0) -> DataFrame:

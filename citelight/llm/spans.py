@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import staged
-from .tokens import SPACED_WORDS, _powers, bytes_of, mix, slices, token_hashes
+from .tokens import SPACED_WORDS, _powers, bounded, bytes_of, mix, slices, token_hashes
 
 LONG = 12
 CUT = 6
@@ -92,7 +92,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    found = rows.mapInArrow(_emit, f"key long, doc_id {kind}, text_hash long, first int, end int")
+    found = bounded(rows).mapInArrow(_emit, f"key long, doc_id {kind}, text_hash long, first int, end int")
     # Counted on the key alone, so the shuffle carries partial counts and a common passage costs one row per task.
     common = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     held = staged(found.join(common, "key"), "repeats")
@@ -151,4 +151,4 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
         F.array().cast("array<long>").alias("removed"),
         F.coalesce("_firsts", F.array()).alias("first_docs"), F.lit(None).cast("string").alias("kept_text"), "covered",
     )
-    return rows.mapInArrow(_cut, rows.drop("covered").schema)
+    return bounded(rows).mapInArrow(_cut, rows.drop("covered").schema)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import scratch_path, staged
 from .files import new_file, open_at
-from .tokens import slices
+from .tokens import bounded, slices
 
 MAGIC = b"TOKFILE1"
 END_ID = 0
@@ -146,7 +146,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
             made = [_end(encoder.ids(t))[: 4 * SAMPLE_IDS] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["ids"])
 
-    samples = sorted(bytes(r[0]) for r in chosen.mapInArrow(encode, "ids binary").collect())
+    samples = sorted(bytes(r[0]) for r in bounded(chosen).mapInArrow(encode, "ids binary").collect())
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:  # too few or too short samples to learn from
@@ -243,7 +243,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, file_bytes
                 )
             at += row["docs"]
 
-    listed = staged(rows.mapInArrow(
+    listed = staged(bounded(rows).mapInArrow(
         both, f"doc_id {kind}, piece long, rank long, name string, position long, docs long, ids long"
     ), "listed")
     return folder, dictionary, listed

@@ -12,8 +12,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+#: Bytes of rows that Spark hands to a worker at a time.
+BATCH_BYTES = 4 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -62,6 +65,16 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
+def bounded(rows: DataFrame) -> DataFrame:
+    """``rows``, to be handed to workers in batches of at most ``BATCH_BYTES`` or a single row.
+
+    By default a batch holds 64 MB, which the JVM and the worker both keep in memory. The setting is the
+    session's and stays, because a plan reads it when it runs.
+    """
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
+    return rows
+
+
 def slices(
     batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES, rows: int = 1 << 20
 ) -> Iterator[pa.RecordBatch]:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import scratch_path, staged
 from .files import new_file, open_at
-from .tokens import slices
+from .tokens import bounded, slices
 
 CHUNK_BYTES = 1 << 18
 REVISIT_BYTES = 100
@@ -66,7 +66,7 @@ def _payloads(pages: DataFrame) -> DataFrame:
     """page_id, url, html (bytes) with payload_bytes and payload_digest."""
     kind = pages.schema["page_id"].dataType.simpleString()
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").cast("binary").alias("html"))
-    return rows.mapInArrow(_measured, f"page_id {kind}, url string, html binary, payload_bytes long, payload_digest string")
+    return bounded(rows).mapInArrow(_measured, f"page_id {kind}, url string, html binary, payload_bytes long, payload_digest string")
 
 
 def _head(fields: dict[str, str | None]) -> bytes:
@@ -170,7 +170,7 @@ def write(pages: DataFrame, folder: str | None = None, file_bytes: int = FILE_BY
         F.col("page_id").cast("string").alias("page_id"), "url", kept.alias("html"), "payload_bytes", "payload_digest",
         F.col("refers_to").cast("string").alias("refers_to"),
     )
-    ranges = rows.mapInArrow(_writer(folder, file_bytes, range_bytes), "name string, start long, end long, records long")
+    ranges = bounded(rows).mapInArrow(_writer(folder, file_bytes, range_bytes), "name string, start long, end long, records long")
     return folder, staged(ranges, "ranges")
 
 

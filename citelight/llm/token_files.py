@@ -14,7 +14,7 @@ name. With the index any single document is read with two small reads.
 Words that a process has met are not encoded again (see :class:`Encoder`).
 
 Rows: a null or empty text has the end id alone. Rows without doc_id come first. Rows that repeat an
-id follow each other, ordered by a hash of the text; equal rows are interchangeable. Other columns are ignored whatever their names. An
+id follow each other, ordered by text; equal rows are interchangeable. Other columns are ignored whatever their names. An
 empty table gives no file and an empty result.
 """
 
@@ -45,6 +45,8 @@ DICTIONARY_BYTES = 64 << 10
 FILE_BYTES = 256 << 20
 #: Tasks that read files at most at a time, each one file after the other.
 READERS = 10_000
+#: Letters of a text that may bound a range of rows with equal ids; the rows are sorted by whole texts.
+RANGE_LETTERS = 64
 #: Words and word stems a process remembers.
 REMEMBERED = 200_000
 
@@ -213,11 +215,11 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, file_bytes
     dictionary = train_dictionary(docs, tokenizer)
     system_name = f"{hashlib.sha256(dictionary).hexdigest()}.dict"
     _put(folder, system_name, dictionary)
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("_hash", F.xxhash64("text"))
-    # The sort by range sends a sample of its keys to the driver, so no text is one of them.
-    order = [F.col("doc_id").asc_nulls_first(), F.col("_hash")]
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order, F.col("text").asc_nulls_first())
-    rows = rows.drop("_hash").withColumn("piece", F.spark_partition_id().cast("long"))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
+    # A sample of the keys that bound the ranges goes to the driver: a text's beginning, which is in the order of the texts.
+    bounds = [order[0], F.left("text", F.lit(RANGE_LETTERS)).asc_nulls_first()]
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).repartitionByRange(*bounds)
+    rows = rows.sortWithinPartitions(*order).withColumn("piece", F.spark_partition_id().cast("long"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     writer = _writer(folder, tokenizer, dictionary, file_bytes)
 

@@ -54,15 +54,6 @@ _HEADER = "<8sI32s"
 _FOOTER = "<QQ8s"
 
 
-def _byte_letters() -> dict[int, str]:
-    """The letter that byte-level vocabularies write for each byte: itself if visible, else the next from 256 on."""
-    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = (b for b in range(256) if b not in visible)
-    return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
-
-
-_LETTERS = _byte_letters()
-_SPACE, _FEED = _LETTERS[32], _LETTERS[10]
 _MARKS = ".,;:!?"
 
 
@@ -87,7 +78,7 @@ class Encoder:
     def _core(self, letters: str) -> bytes:
         known = self.cores.get(letters)
         if known is None:
-            known = self.cores[letters] = array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+            known = self.cores[letters] = self.whole(letters)
         return known
 
     def _word(self, word: str) -> bytes:
@@ -96,10 +87,9 @@ class Encoder:
         core = plain.rstrip(_MARKS)
         # Letters of the Latin blocks are letters in every version of Unicode.
         if core.isalpha() and (core.isascii() or max(core) < "\u0250"):
-            letters = core if core.isascii() else core.encode().decode("latin-1").translate(_LETTERS)
-            before, lead = (self._core(_FEED), "") if plain is not word else (b"", _SPACE)
+            before, lead = (self._core("\n"), "") if plain is not word else (b"", " ")
             tail = plain[len(core):]
-            return before + self._core(lead + letters) + (self._core(tail) if tail else b"")
+            return before + self._core(lead + core) + (self._core(tail) if tail else b"")
         return self.whole(word if plain is not word else " " + word)
 
     def ids(self, text: str) -> bytes:

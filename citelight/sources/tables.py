@@ -156,9 +156,8 @@ def new_rows(target: DataFrame, batch: DataFrame, key: str, sequence: str | None
     ``sequence`` names the column giving the order in the batch (the last occurrence
     wins); without it the choice is fixed by the row's content.
     """
-    known = target.select(key).distinct()
-    single = latest_per_key(batch, [key], []) if sequence is None else last_in_batch(batch, key, sequence)
-    return join_null_safe(single, known, [key], "left_anti")
+    fresh = join_null_safe(batch, target.select(key), [key], "left_anti")
+    return latest_per_key(fresh, [key], []) if sequence is None else last_in_batch(fresh, key, sequence)
 
 
 def append_new(

@@ -25,6 +25,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -193,11 +194,8 @@ def _writer(folder: str, tokenizer: str, dictionary: bytes, file_bytes: int):
         stream = rows()
         rank = 0
         for first in stream:
-            def own(first=first):
-                yield first
-                yield from stream
-
-            row = one_file(own(), encoder, compressor, rank)
+            # A chain, unlike a generator that delegates, leaves the stream open when a file ends before it.
+            row = one_file(chain([first], stream), encoder, compressor, rank)
             rank += 1
             yield pa.RecordBatch.from_pylist([row])
 
@@ -233,7 +231,11 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, file_bytes
                 yield batch
 
         files = [row for made in writer(seen()) for row in made.to_pylist()]
+        ids.extend(batch.column("doc_id") for batch in batches)
         held = pa.concat_arrays(ids) if ids else None
+        given, written = sum(map(len, ids)), sum(row["docs"] for row in files)
+        if given != written:
+            raise ValueError(f"{written} of {given} documents are in the files")
         at = 0
         for row in files:
             for start in range(0, row["docs"], 100_000):

@@ -192,3 +192,16 @@ def test_token_files(docs_of):
     row = listed.where("doc_id = 2").first()
     assert len(token_files.read_document(folder, row["name"], row["position"], dictionary)) > 20_000
     assert token_files.round_trip(docs_of(), path).count() == 0
+
+
+def test_token_files_of_several_documents(docs_of):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = [(i, " ".join(f"w{i * k}" for k in range(i % 7))) for i in range(60)]
+    folder, dictionary, listed = token_files.write(docs_of(*texts).coalesce(1), path, file_bytes=150)
+    files = [r["docs"] for r in listed.select("name", "docs").distinct().collect()]
+    assert sum(files) == 60 and len(files) > listed.select("piece").distinct().count() and max(files) > 1
+    found = token_files.read(folder, dictionary, listed).orderBy("doc_id").collect()
+    sizes = [len(token_files.Encoder(path).ids(text)) // 4 + 1 for _, text in texts]
+    assert [(r["doc_id"], r["start"], r["n_tokens"]) for r in found] == [(i, sum(sizes[:i]), sizes[i]) for i in range(60)]

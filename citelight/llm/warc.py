@@ -20,6 +20,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -137,19 +138,25 @@ def _writer(folder: str, file_bytes: int, range_bytes: int):
         return ranges
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given = written = 0
+
         def rows():
+            nonlocal given
             for batch in batches:
+                given += batch.num_rows
                 for part in slices(batch, "html"):
                     for i in range(part.num_rows):
                         yield {c: part.column(c)[i].as_py() for c in part.schema.names}
 
         stream = rows()
         for first in stream:
-            def own(first=first):
-                yield first
-                yield from stream
-
-            yield pa.RecordBatch.from_pylist(one_file(own()))
+            # A chain, unlike a generator that delegates, leaves the stream open when an archive ends before it.
+            ranges = one_file(chain([first], stream))
+            written += sum(r["records"] for r in ranges)
+            yield pa.RecordBatch.from_pylist(ranges)
+        given += sum(batch.num_rows for batch in batches)
+        if given != written:
+            raise ValueError(f"{written} of {given} pages are in the archives")
 
     return write
 

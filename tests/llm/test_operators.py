@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import parity
 from citelight.llm import decontamination, exact, language, lines, minhash, mixing, quality, spans, token_files, warc
@@ -174,6 +175,16 @@ def test_warc_chunks(spark, monkeypatch):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_warc_archives_of_several_records(spark):
+    texts = [" ".join(f"{i}w{i * k}" for k in range(i)) for i in range(60)]
+    pages = spark.createDataFrame([(i, "u", t) for i, t in enumerate(texts)], "page_id long, url string, html string").coalesce(1)
+    folder, ranges = warc.write(pages, file_bytes=3000, range_bytes=1000)
+    archives = [r["n"] for r in ranges.groupBy("name").agg(F.sum("records").alias("n")).collect()]
+    assert sum(archives) == 60 and len(archives) > 4 and max(archives) > 1
+    found = warc.read(folder, ranges).orderBy(F.col("page_id").cast("long")).collect()
+    assert [(r["page_id"], r["payload"].decode()) for r in found] == [(str(i), t) for i, t in enumerate(texts)]
+
+
 def test_token_files(docs_of):
     import public_tokenizers
     from tokenizers import Tokenizer

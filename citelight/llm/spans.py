@@ -1,12 +1,16 @@
 """Repeated passages: sliding spans of consecutive sentences, hashed and joined over all documents.
 
-A sentence ends at a word that ends in ``.``, ``!`` or ``?``, or at a line feed. Sentences of more than
-``LONG`` words are cut further after words whose hash is divisible by ``CUT``, so that a passage put into the
-middle of a long sentence falls into the same pieces wherever it stands. From every piece on, a span runs over
-at least ``PIECES`` pieces and ``WORDS`` words. Spans with equal words are repeats; the first, by document and place,
-stays, and the pieces under any other are removed.
+A sentence ends at a word that ends in ``.``, ``!``, ``?`` or a like mark of another script, or at a line feed. Sentences
+of more than ``LONG`` words are cut further by winnowing: of every ``WINDOW`` consecutive words of the sentence, after
+the one with the smallest hash (the last of equal ones), so that a passage put into the middle of a long sentence falls
+into the same pieces wherever it stands. From every piece on, a span runs over at least ``PIECES`` pieces and ``WORDS``
+words. Spans with equal words are repeats; the first, by document and place, stays, and the pieces under any other are removed.
 
-Words are runs of anything but ASCII white space, A-Z read as a-z. Rows: null and empty texts, and texts
+No piece is longer than ``LONG`` words. The first ``LONG`` words of a passage hold a cut that is in all its copies, and so
+do the following ones up to the last ``LONG``; three pieces fit between, so every passage of more than 50 words has a whole span.
+
+Words are runs of anything but ASCII white space, A-Z read as a-z. In scripts without spaces (``tokens.unspaced``) every
+character is cut off like a word and counts as a third of one; a passage of 70 such characters has a whole span. Rows: null and empty texts, and texts
 shorter than one span, are never changed. Rows that repeat id and text are one document; rows that repeat the id
 alone are told apart by text; documents without id come last. Input columns named like an output
 column are replaced, all others are carried along. An empty table gives an empty result.
@@ -21,49 +25,79 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import staged
-from .tokens import SPACED_WORDS, _powers, bounded, bytes_of, mix, slices, token_hashes
+from .tokens import SPACED_WORDS, _powers, bounded, bytes_of, mix, slices, token_hashes, unspaced
 
 LONG = 12
-CUT = 6
+WINDOW = 8
 PIECES = 3
 WORDS = 15
+#: What a word counts, next to a character of a script without spaces.
+WORD = 3
 OUTPUT = ("n_pieces", "n_removed", "removed", "first_docs", "kept_text")
 
 #: Bytes that end a sentence at the end of a word.
 _ENDS = np.zeros(256, bool)
 _ENDS[[33, 46, 63]] = True
+#: The last two and three bytes of other marks that do.
+_ENDS_2 = [int.from_bytes(c.encode()) for c in "\u0589\u061f\u06d4"]
+_ENDS_3 = [int.from_bytes(c.encode()) for c in "\u0964\u0965\u104a\u104b\u1362\u17d4\u3002\uff01\uff0e\uff1f\uff61"]
 
 
 def _before(values: np.ndarray) -> np.ndarray:
     return np.r_[0, np.cumsum(values)]
 
 
-def pieces(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _ends_sentence(data: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether the words that end before ``end`` end a sentence."""
+    closes = _ENDS[data[end - 1]]
+    other = np.flatnonzero(data[end - 1] >= 128)
+    # The first byte of a character is at hand where its last byte is.
+    two = data[end[other] - 2].astype(np.int64) << 8 | data[end[other] - 1]
+    three = data[np.maximum(end[other] - 3, 0)].astype(np.int64) << 16 | two
+    closes[other] = np.isin(two, _ENDS_2) | np.isin(three, _ENDS_3)
+    return closes
+
+
+def _winnow(hashes: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """The place of the smallest hash, the last of equal ones, of every ``WINDOW`` words of one group."""
+    m = max(len(hashes) - WINDOW + 1, 0)
+    least, place = hashes[:m].copy(), np.zeros(m, np.int64)
+    for k in range(1, WINDOW):
+        lower = hashes[k: k + m] <= least
+        np.copyto(least, hashes[k: k + m], where=lower)
+        place[lower] = k
+    return (place + np.arange(m))[group[:m] == group[WINDOW - 1: WINDOW - 1 + m]]
+
+
+def pieces(text: pa.Array) -> tuple[np.ndarray, ...]:
     """Word hashes, first byte of each word, the first word of each piece (and the end), the first piece of each row (and
-    the end), the first byte of each row (and the end)."""
-    hashes, start, end, rows = token_hashes(text, SPACED_WORDS)
+    the end), the first byte of each row (and the end), what the words before each word count (and the end)."""
+    hashes, start, end, rows = token_hashes(text, SPACED_WORDS, apart=True)
     data, row_bytes = bytes_of(text)
     n = len(hashes)
     if not n:
-        return hashes, start, np.zeros(1, np.int64), np.zeros(len(rows), np.int64), row_bytes
+        return hashes, start, np.zeros(1, np.int64), np.zeros(len(rows), np.int64), row_bytes, np.zeros(1, np.int64)
     last = np.zeros(n, bool)
     last[rows[1:][rows[1:] > 0] - 1] = True
     feeds = _before(data == 10)
     until = np.r_[start[1:], len(data)]
-    closes = last | _ENDS[data[end - 1]] | (feeds[until] > feeds[end])
+    closes = last | _ends_sentence(data, end) | (feeds[until] > feeds[end])
     sentence = np.r_[0, np.cumsum(closes)[:-1]]
-    long = np.bincount(sentence)[sentence] > LONG
-    closes |= long & (hashes % np.uint64(CUT) == 0)
+    long = np.flatnonzero(np.bincount(sentence)[sentence] > LONG)
+    closes[long[_winnow(hashes[long], sentence[long])]] = True
     first_word = np.r_[0, np.flatnonzero(closes) + 1]
-    return hashes, start, first_word, np.searchsorted(first_word, rows), row_bytes
+    counts = np.full(n, WORD)
+    counts[np.searchsorted(start, unspaced(data)[0])] = 1
+    return hashes, start, first_word, np.searchsorted(first_word, rows), row_bytes, _before(counts)
 
 
-def spans(hashes: np.ndarray, first_word: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+def spans(hashes: np.ndarray, first_word: np.ndarray, rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
     """Key, row, first piece and end piece (in the row) of every span."""
     total = len(first_word) - 1
     owner = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
     at = np.arange(total)
-    end = np.maximum(at + PIECES, np.searchsorted(first_word, first_word[:-1] + WORDS))
+    before = counts[first_word]
+    end = np.maximum(at + PIECES, np.searchsorted(before, before[:-1] + WORDS * WORD))
     fits = np.flatnonzero(end <= rows[1:][owner]) if total else at
     a, b = first_word[:-1][fits], first_word[np.minimum(end, total)][fits]
     power, inverse = _powers(len(hashes) + 1)
@@ -75,8 +109,8 @@ def spans(hashes: np.ndarray, first_word: np.ndarray, rows: np.ndarray) -> tuple
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
-            hashes, _, first_word, rows, _ = pieces(part.column("text"))
-            keys, owner, first, end = spans(hashes, first_word, rows)
+            hashes, _, first_word, rows, _, counts = pieces(part.column("text"))
+            keys, owner, first, end = spans(hashes, first_word, rows, counts)
             owner = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -108,7 +142,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
-            _, start, first_word, rows, row_bytes = pieces(part.column("text"))
+            _, start, first_word, rows, row_bytes, _ = pieces(part.column("text"))
             text = part.column("text").cast(pa.binary()).to_pylist()
             covered = part.column("covered").to_pylist()
             n, removed, kept = np.diff(rows), [], []

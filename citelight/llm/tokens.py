@@ -107,12 +107,30 @@ def bytes_of(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[ends[0]: ends[-1]], ends - ends[0]
 
 
+def unspaced(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of every character of a script written without spaces.
+
+    These are Thai, Lao, Tibetan, Burmese, Khmer, and all from CJK marks and kana to ideographs, with their wide forms.
+    """
+    at = np.flatnonzero(data >= 0xE0)
+    padded = np.r_[data, np.zeros(2, np.uint8)]
+    a, b, c = padded[at], padded[at + 1], padded[at + 2]
+    found = (
+        (a == 0xE0) & (b >= 0xB8)
+        | (a == 0xE1) & ((b <= 0x81) | (b == 0x82) & (c < 0xA0) | (b == 0x9E) | (b == 0x9F))
+        | (a >= 0xE3) & (a <= 0xE9)
+        | (a == 0xEF) & ((b >= 0xA4) & (b <= 0xAB) | (b >= 0xBC) & (b <= 0xBE))
+        | (a == 0xF0) & (b >= 0xA0)
+    )
+    return at[found], at[found] + np.where(a[found] == 0xF0, 4, 3)
+
+
 def token_hashes(
-    text: pa.Array, classes: np.ndarray, fold: bool = True
+    text: pa.Array, classes: np.ndarray, fold: bool = True, apart: bool = False
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, first byte and last byte (exclusive) of every token, and the first token of each row (and the end).
 
-    ``fold`` reads A-Z as a-z. A null row has no tokens.
+    ``fold`` reads A-Z as a-z; ``apart`` makes every character of a script without spaces a token. A null row has no tokens.
     """
     data, rows = bytes_of(text)
     if not len(data):
@@ -123,6 +141,9 @@ def token_hashes(
     change[0] = change[-1] = True
     np.not_equal(kind[1:], kind[:-1], out=change[1:-1])
     change[rows] = True
+    if apart:
+        for edges in unspaced(data):
+            change[np.minimum(edges, len(data))] = True
     cuts = np.flatnonzero(change)
     starts, ends = cuts[:-1], cuts[1:]
     inside = kind[starts] > 0

@@ -1,10 +1,12 @@
 """Operators on small tables: nulls, empty tables, repeats, long texts, clashing columns, brute force."""
 
+import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,6 +159,48 @@ def test_spans(docs_of):
     assert spans.drop_repeats(docs_of()).count() == 0
 
 
+def shared_spans(first, second):
+    """Spans of two texts that are in both."""
+    hashes, _, first_word, rows, _, counts = spans.pieces(pa.array([first, second]))
+    keys, owner, _, _ = spans.spans(hashes, first_word, rows, counts)
+    return set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
+
+
+@pytest.mark.parametrize("vocabulary", [1, 2, 3, 50, 5000])
+def test_every_passage_of_51_words_has_a_span(vocabulary):
+    rng = random.Random(vocabulary)
+
+    def words(n, name, size, stops):
+        return [f"{name}{rng.randrange(size)}" + rng.choice(".!?") * (rng.random() < stops) for _ in range(n)]
+
+    for _ in range(1500):
+        passage = words(51, "w", vocabulary, rng.choice([0, 0, 0.03, 0.08, 0.15, 0.4]))
+        texts = [
+            " ".join(words(rng.randrange(30), f"{side}a", 900, 0.05) + passage + words(rng.randrange(30), f"{side}z", 900, 0.05))
+            for side in "lr"
+        ]
+        assert shared_spans(*texts), texts
+
+
+@pytest.mark.parametrize("low, high, stop", [(0x4E00, 0x9FFF, "\u3002"), (0x3041, 0x3096, "\uff01"), (0x0E01, 0x0E2E, " ")])
+def test_every_passage_without_spaces_has_a_span(low, high, stop):
+    rng = random.Random(low)
+
+    def letters(n, stops):
+        return "".join(stop if rng.random() < stops else chr(rng.randrange(low, high)) for _ in range(n))
+
+    for _ in range(500):
+        passage = letters(80, rng.choice([0, 0.05, 0.1]))
+        assert shared_spans(*(letters(rng.randrange(40), 0.05) + passage + letters(rng.randrange(40), 0.05) for _ in range(2))), passage
+
+
+def test_spans_without_spaces(docs_of):
+    passage = "".join(chr(0x4E00 + 37 * i) for i in range(100))
+    found = {r["doc_id"]: r for r in spans.drop_repeats(docs_of((1, f"\u524d{passage}\u3002"), (2, f"abc {passage}\u3002\u540e\u6587"))).collect()}
+    assert found[1]["n_removed"] == 0 and found[2]["n_removed"] >= 3 and found[2]["kept_text"].startswith("abc ")
+    assert found[2]["kept_text"].endswith("\u540e\u6587") and len(found[2]["kept_text"]) < 40
+
+
 def test_warc_chunks(spark, monkeypatch):
     big = "<p>\r\n\r\n</p>" * 60_000
     pages = spark.createDataFrame(

@@ -169,13 +169,13 @@ def _rare_first(width: int, percent: int):
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, text_hash, n_shingles, component_id, kept.
+    """Per row of ``docs`` (doc_id, text): doc_id, text_hash, n_shingles, component, component_id, kept.
 
     Words are runs of anything but ASCII white space, with A-Z read as a-z. Two rows
     are linked when ``100 * shared >= percent * all`` of their distinct shingles of
     ``width`` words (a shorter text is one shingle). ``component_id`` is the smallest
     doc_id reachable over links; rows without shingles stand alone. ``text_hash`` (xxhash64) tells
-    rows apart that share an id.
+    rows apart that share an id, ``component`` groups whose smallest ids are equal or null; it is null for rows that stand alone.
     """
     signed = staged(signatures(docs, width), "signatures")
     sets = signed.where("n_shingles > 0").groupBy("set_a", "set_b").agg(
@@ -198,12 +198,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         "set_a", "set_b", "doc_id", F.coalesce("component", "node").alias("component")
     )
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(smallest, "component").select("set_a", "set_b", "component_id")
+    named = named.join(smallest, "component").select("set_a", "set_b", "component", "component_id")
     alone = signed.where("n_shingles = 0").select(
-        "doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id")
+        "doc_id", "text_hash", "n_shingles", F.lit(None).cast("long").alias("component"), F.col("doc_id").alias("component_id")
     )
     joined = signed.where("n_shingles > 0").join(named, ["set_a", "set_b"]).select(
-        "doc_id", "text_hash", "n_shingles", "component_id"
+        "doc_id", "text_hash", "n_shingles", "component", "component_id"
     )
     return joined.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 

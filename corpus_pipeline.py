@@ -10,10 +10,16 @@ from citelight.session import staged
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _keep(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that were kept, once each; rows are known by id and text, and null ids meet each other."""
-    kept = decisions.where("kept").groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
-        F.count("*").alias("_rows")
+def _keep(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Of every component the row with the smallest id and then text hash, null ids last, and all rows that stand alone.
+
+    Rows are known by id and text, and null ids meet each other; equal rows are kept once.
+    """
+    rows = found.groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("rows"))
+    alone = F.when(F.col("component").isNull(), F.struct("doc_id", "text_hash"))
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "rows")
+    kept = rows.groupBy("component", alone.alias("alone")).agg(F.min(place).alias("first")).select(
+        F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"), F.col("first.rows").alias("_rows")
     )
     kept = staged(kept, "kept")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.xxhash64(F.col("text").cast("string")).eqNullSafe(F.col("_hash"))

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 import parity
 from citelight.llm import decontamination, exact, language, lines, minhash, mixing, quality, spans, token_files, warc
 from citelight.llm.queries import ORACLE, QUERIES
@@ -67,6 +68,17 @@ def test_near_duplicates_edges(docs_of):
     assert rows(minhash.near_duplicates(docs_of()), "doc_id") == []
 
 
+def test_one_document_of_each_group_of_near_copies_stays(spark, docs_of):
+    base = " ".join(f"w{i}" for i in range(200))
+    other = " ".join(f"o{i}" for i in range(200))
+    docs = docs_of(
+        (None, base), (None, base + " x"), (None, base + " y"), (None, base), (7, other), (7, other + " x"), (8, other + " y"),
+        (None, None), (None, ""), (1, "q r s"), (1, "q r s"), (1, "t u v"),
+    )
+    found = [(r["doc_id"], (r["text"] or "-")[:2]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
+    assert Counter(found) == Counter([(None, "w0"), (7, "o0"), (None, "-"), (None, "-"), (1, "q "), (1, "t ")])
+
+
 def test_exact_edges(docs_of):
     old = docs_of((1, "Same"), (2, None), (None, "alone"), (4, "É"))
     new = docs_of((9, "sAME"), (9, "same"), (8, ""), (7, "new"), (6, "é"))

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, exact, language, lines, minhash, mixing, quality, spans, token_files, warc
+from . import (
+    decontamination, exact, language, lines, minhash, mixing, packing, periods, quality, search, spans, token_files, warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -179,3 +181,73 @@ def op9_spans(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_pieces", "n_removed", "removed", "first_docs", (F.col("n_removed") > 0).alias("changed"),
         F.sha2("kept_text", 256).alias("kept_sha256"),
     )
+
+
+_TERMS = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
+
+@_query(f"""
+    WITH docs AS (SELECT doc_id, regexp_extract_all({_FOLD}, '{_TERMS}') AS w FROM documents),
+    items AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_FOLD}, '{_TERMS}')) AS term FROM benchmark),
+    total AS (SELECT count(*) AS big_n, sum(len(w))::BIGINT AS big_l FROM docs WHERE len(w) > 0),
+    freq AS (
+      SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM docs)
+      WHERE term IN (SELECT term FROM items) GROUP BY doc_id, n, term),
+    spread AS (SELECT term, count(*) AS df FROM freq GROUP BY term),
+    scored AS (
+      SELECT item_id, doc_id,
+             sum(floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)))::BIGINT
+                 * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * big_n) // big_l))))::BIGINT AS score
+      FROM items JOIN freq USING (term) JOIN spread USING (term) CROSS JOIN total GROUP BY item_id, doc_id),
+    ranked AS (
+      SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+      FROM scored WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+""")
+def op11_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(_read(spark, folder, "benchmark"), _read(spark, folder, "documents"))
+
+
+@_query()
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    pieces = packing.cut(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """Texts of every tenth document by hash continue with a group of their own words over and over."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    turned = docs.withColumn("_hash", hashed).withColumn(
+        "_words", F.when(F.col("_hash") % 10 == 0, F.regexp_extract_all("text", F.lit(f"({mixing.WORD})"), F.lit(1)))
+    )
+    turned = turned.withColumn("_n", F.size("_words")).withColumn("_g", F.expr("_hash div 10"))
+    turned = turned.withColumn("_a", F.expr("IF(_n > 0, _g % _n, 0)")).withColumn("_p", F.expr("1 + (_n - _a) div (3 + _g % 8)"))
+    # The words before place a, then the p words from a on as often as they are needed, cut to the old length.
+    again = F.expr("""
+        array_join(concat(slice(_words, 1, CAST(_a AS INT)), slice(flatten(array_repeat(
+          slice(_words, CAST(_a + 1 AS INT), CAST(_p AS INT)), CAST((_n - _a) div _p + 1 AS INT))), 1, CAST(_n - _a AS INT))), ' ')
+    """)
+    return turned.select("doc_id", F.when(F.coalesce(F.col("_n") > 0, F.lit(False)), again).otherwise(F.col("text")).alias("text"))
+
+
+@_query()
+def op13_periods(spark: SparkSession, folder: str) -> DataFrame:
+    found = periods.detect(with_periods(_read(spark, folder, "documents").select("doc_id", "text")))
+    # Exponents are compared as fractions: a longer run first, then the earlier start, then the shorter period.
+    best = F.expr("""
+        array_sort(runs, (a, b) -> CASE
+          WHEN a.length * b.period <> b.length * a.period THEN IF(a.length * b.period > b.length * a.period, -1, 1)
+          WHEN a.start <> b.start THEN IF(a.start < b.start, -1, 1)
+          WHEN a.period <> b.period THEN IF(a.period < b.period, -1, 1) ELSE 0 END)
+    """)
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    first = found.withColumn("best", F.get(best, F.lit(0)))
+    return first.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

@@ -25,17 +25,19 @@ are ignored; :func:`pack` carries all columns but those named ``sequence_id`` or
 
 from __future__ import annotations
 
-import re
+import json
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import staged
+from .token_files import _LETTERS
 from .tokens import bounded, slices
 
 CAPACITY = 2048
@@ -46,87 +48,114 @@ GROUP_PIECES = 50_000
 NODES = 20_000
 REFIT = 64
 #: Fillings of one sequence that are looked at, and steps of looking for them.
-FILLINGS = 32
+FILLINGS = 8
 STEPS = 2_000
+#: Marks that are tokens of their own after a word.
+_MARKS = b".,;:!?"
+#: Text whose distinct words are looked up together.
+SLICE_BYTES = 2 << 20
 #: Words remembered by a process: those met lately, and those met before them.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 
 # --- ids ----------------------------------------------------------------------------------
 
-#: Marks between a letter and a space.
-_MARKED = re.compile(rb"([a-z])([.,;:!?]+)(?=[ \t-\r]|$)")
-
 class WordEncoder:
     """Ids of texts, for tokenizers that drop white space and never join what it parts.
 
-    Every word between ASCII spaces is encoded once and remembered in one of two sets. When the younger is
-    full it becomes the older one, which is forgotten; a word found in the older moves to the younger, so frequent
-    words always stay. Whether a tokenizer parts words is read from its file; others get whole texts.
+    Texts are cut at ASCII spaces, the distinct words of a slice are looked up, and their ids put together
+    by position. A word is encoded once and remembered in one of two sets. When the younger is full it becomes the older
+    one, which is forgotten; a word found in the older moves to the younger, so frequent words always
+    stay. Whether a tokenizer parts words is read from its file; others get whole texts.
     """
 
     def __init__(self, path: str):
-        import json
-
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path) as stream:
             self.parts = _parts_words(json.load(stream))
+        self.marks: dict[bytes, bytes] = {}
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        made = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in made]
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Encode new words: ASCII letters by the vocabulary's model, all others by the whole tokenizer."""
-        model = self.tokenizer.model.tokenize
-        rest = []
-        for word in words:
-            if word.isalpha():  # of bytes: ASCII letters alone
-                self.young[word] = array("I", [t.id for t in model(word.decode())]).tobytes()
+    def _letters(self, letters: str) -> bytes:
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+
+    def _encoded(self, words: list[bytes]) -> list[bytes]:
+        """Ids of new words: letters by the vocabulary's model, others side by side in one text or one by one."""
+        out: list[bytes] = [b""] * len(words)
+        plain, odd = [], []
+        for k, word in enumerate(words):
+            core = word.rstrip(_MARKS)
+            if core.isalpha():  # of bytes: ASCII letters alone, which are lower case here
+                out[k] = self.young.get(core) or self._letters(core.decode())
+            elif core.isascii():
+                plain.append((k, word.decode()))
+                continue
             else:
-                rest.append(word)
-        read = [w.decode() for w in rest]
-        # Side by side in one text, but for words with combining marks and the like, whose letters may change places.
-        simple = [w.isascii() or max(w) < "\u0300" for w in read]
-        plain = [w for w, ok in zip(read, simple) if ok]
+                # Latin letters are letters in every version of Unicode and never join with each other.
+                lower = core.decode().lower()
+                if not lower.isalpha() or max(lower) >= "\u0250":
+                    odd.append((k, word.decode()))
+                    continue
+                out[k] = self._letters(lower.encode().decode("latin-1").translate(_LETTERS))
+            if core != word:
+                marks = word[len(core):]
+                if marks not in self.marks:
+                    self.marks[marks] = self._letters(marks.decode())
+                out[k] += self.marks[marks]
         if plain:
-            made = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
-            begins = np.cumsum([0, *(len(w) + 1 for w in plain)])
-            cuts = np.searchsorted(np.array([o[0] for o in made.offsets], np.int64), begins)
+            made = self.tokenizer.encode(" ".join(text for _, text in plain), add_special_tokens=False)
+            begins = np.cumsum([0, *(len(text) + 1 for _, text in plain)])
+            cuts = np.searchsorted(np.array([o[0] for o in made.offsets], np.int64), begins).tolist()
             ids = array("I", made.ids).tobytes()
-            pieces = [ids[4 * a: 4 * b] for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
-            self.young.update(zip([w for w, ok in zip(rest, simple) if ok], pieces))
-        odd = [w for w, ok in zip(read, simple) if not ok]
+            for (k, _), a, b in zip(plain, cuts, cuts[1:]):
+                out[k] = ids[4 * a: 4 * b]
         if odd:
-            self.young.update(zip([w for w, ok in zip(rest, simple) if not ok], self._encode(odd)))
+            made = self.tokenizer.encode_batch([text for _, text in odd], add_special_tokens=False)
+            for (k, _), one in zip(odd, made):
+                out[k] = array("I", one.ids).tobytes()
+        return out
 
-    def ids(self, texts: list[bytes]) -> list[bytes]:
+    def ids(self, texts: pa.Array) -> list[bytes]:
         """Little-endian 32-bit ids of every text."""
         if not self.parts:
-            return self._encode([t.decode() for t in texts])
-        # Lower case here too, so that a word is met in one form; marks after a word are tokens of their own.
-        split = [_MARKED.sub(rb"\1 \2", t.lower()).split() for t in texts]
-        met = set().union(*split)
-        unknown = met.difference(self.young)
-        if len(self.young) + len(unknown) > REMEMBERED:
-            self.old, self.young, unknown = self.young, {}, met
-        old = self.old
-        known = [w for w in unknown if w in old]
-        self.young.update((w, old[w]) for w in known)
-        self._learn(sorted(unknown.difference(known)))
-        look = self.young.__getitem__
-        return [b"".join(map(look, words)) for words in split]
+            made = self.tokenizer.encode_batch([t or "" for t in texts.to_pylist()], add_special_tokens=False)
+            return [array("I", e.ids).tobytes() for e in made]
+        # The tokenizer reads capitals as small letters, so a word is looked up in one form.
+        words = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+        own = list(map(self.young.get, distinct))
+        missing = [k for k, ids in enumerate(own) if ids is None]
+        if len(self.young) + len(missing) > REMEMBERED:
+            self.marks = {}
+            self.old, self.young = self.young, {w: ids for w, ids in zip(distinct, own) if ids is not None}
+        for k, ids in zip(missing, map(self.old.get, [distinct[k] for k in missing])):
+            own[k] = ids
+        fresh = [k for k in missing if own[k] is None]
+        for k, ids in zip(fresh, self._encoded([distinct[k] for k in fresh])):
+            own[k] = ids
+        self.young.update((distinct[k], own[k]) for k in missing)
+        flat = np.frombuffer(b"".join(own), "<u4")
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        code = coded.indices.to_numpy()
+        counts = sizes[code]
+        after = np.cumsum(counts)
+        total = int(after[-1]) if len(after) else 0
+        shift = (np.cumsum(sizes) - sizes)[code] - (after - counts)
+        found = flat[np.repeat(shift, counts) + np.arange(total)].tobytes()
+        ends = 4 * np.r_[0, after][np.cumsum(words.value_lengths().to_numpy())]
+        return [found[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
 
 
 def _parts_words(form: dict) -> bool:
     """Whether ids of a text are those of its words between ASCII spaces, one after the other.
 
     So it is if normalisers look at neighbouring letters at most, the text is split by a pattern whose matches
-    hold no white space and alone are kept, nothing is put around the ids, and no added token holds or takes white space.
+    hold no white space and part letters from marks, its bytes are spelt as letters, nothing is put around the
+    ids, and no added token holds or takes white space.
     """
     def steps(part: dict | None, key: str) -> list[dict]:
         return [] if part is None else part[key] if part["type"] == "Sequence" else [part]
@@ -145,7 +174,7 @@ def _parts_words(form: dict) -> bool:
     pattern = cut[0]["pattern"].get("Regex", " ")
     if pattern != r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+":
         return False
-    if any(step["type"] != "ByteLevel" or step.get("add_prefix_space") or step.get("use_regex") for step in cut[1:]):
+    if [step["type"] for step in cut[1:]] != ["ByteLevel"] or cut[1].get("add_prefix_space") or cut[1].get("use_regex"):
         return False
     spaced = (t["lstrip"] or t["rstrip"] or t["single_word"] or any(c.isspace() for c in t["content"]) for t in form.get("added_tokens", []))
     return not any(spaced) and not form.get("truncation") and not form.get("padding")
@@ -168,10 +197,9 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
         encoder = encoder_of(tokenizer)
         end = END_ID.to_bytes(4, "little")
         for batch in batches:
-            for part in slices(batch, "text"):
-                texts = part.column("text").cast(pa.binary()).to_pylist()
+            for part in slices(batch, "text", SLICE_BYTES):
                 rows, pieces, made = [], [], []
-                for row, ids in enumerate(encoder.ids([t or b"" for t in texts])):
+                for row, ids in enumerate(encoder.ids(part.column("text"))):
                     ids += end
                     for at in range(0, len(ids), 4 * capacity):
                         rows.append(row)

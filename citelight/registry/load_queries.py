@@ -11,7 +11,8 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import iso_week, week_monday
-from ..plans import layers
+from ..plans import layers, runs
+from ..plans.runs import Warehouse
 from ..session import scratch_path
 from ..sources import freshness, tables
 from . import bindings as b
@@ -122,7 +123,7 @@ def load_truncate(t: Tables) -> DataFrame:
     tables.truncate_load(rows.withColumn("o_totalprice", F.lit(0.0)), path, RUN)
     tables.truncate_load(rows, path, RUN)
     tables.truncate_load(rows.where(F.lit(False)), path, RUN)  # an empty batch changes nothing
-    return t.spark.read.parquet(path).drop("loaded_at")
+    return tables.read_table(t.spark, path, rows.schema)
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_shipdate::DATE AS day, strftime(l_shipdate, '%G-%V') AS week,
@@ -135,7 +136,7 @@ def replaced_by_week(t: Tables) -> DataFrame:
         "l_returnflag", "l_extendedprice",
     )
     tables.replace_table(rows, path, ["week"], ["day", "l_returnflag"])
-    return t.spark.read.schema(rows.schema).parquet(path)
+    return tables.read_table(t.spark, path, rows.schema)
 
 
 @query("SELECT n_nationkey, n_name, NULL::VARCHAR AS note FROM nation UNION ALL SELECT r_regionkey, r_name, 'new' FROM region")
@@ -150,6 +151,91 @@ def added_column(t: Tables) -> DataFrame:
     return tables.read_table(t.spark, path, later.schema)
 
 
+# --- runs ---------------------------------------------------------------------------------
+
+
+def _landed_orders(t: Tables) -> DataFrame:
+    """A payload per order, of the run that saw its state, and all orders once more in a third run."""
+    run = F.when(F.col("o_orderstatus") == "F", F.lit("2024-01-01T06-00-00")).otherwise(F.lit("2024-01-02T06-00-00"))
+    term = F.expr("""
+        named_struct('id', CAST(o_orderkey AS STRING), 'term', concat('order ', o_orderkey),
+          'aiSearchEngines', array(o_orderpriority), 'status', o_orderstatus, 'executionsAmount', o_custkey)
+    """)
+    document = F.to_json(F.named_struct(F.lit("data"), F.named_struct(F.lit("searchTerms"), F.array(term))))
+    return t.orders.select(
+        F.concat(F.lit("b"), F.substring("o_orderpriority", 1, 1)).alias("brand_id"), document.alias("value"),
+        F.explode(F.array(run, F.lit("2024-01-03T06-00-00"))).alias("run"),
+    )
+
+
+@query("""WITH o AS (SELECT 'b' || left(o_orderpriority, 1) AS brand_id, o_orderkey::VARCHAR AS search_term_id,
+  'order ' || o_orderkey AS query, o_orderpriority AS engine, o_orderstatus AS status, o_custkey AS executions_amount FROM orders)
+SELECT *, CASE status WHEN 'F' THEN TIMESTAMP '2024-01-01 06:00:00' ELSE TIMESTAMP '2024-01-02 06:00:00' END AS loaded FROM o
+UNION ALL SELECT *, TIMESTAMP '2024-01-03 06:00:00' FROM o""")
+def loaded_runs(t: Tables) -> DataFrame:
+    """Three runs: the last is loaded before the other two arrive side by side; repeated loads change nothing."""
+    root = scratch_path(t.spark, "runs")
+    house, landed = Warehouse(f"{root}/house"), _landed_orders(t)
+    later = F.col("run") == "2024-01-03T06-00-00"
+    for rows in (landed.where(later), landed.where(~later)):
+        rows.write.mode("append").partitionBy("brand_id", "run").text(f"{root}/landing/search_terms")
+        for _ in range(2):
+            runs.load_raw(t.spark, f"{root}/landing", house, RUN)
+    return house.read(t.spark, "raw_search_terms").select(
+        "brand_id", "search_term_id", "query", "engine", "status", "executions_amount", F.col(tables.STAMP).alias("loaded")
+    )
+
+
+def _executions(t: Tables, moved: bool) -> DataFrame:
+    """Orders as executions. Every third one comes again: moved by some days, given its time, or losing it."""
+    key, clock = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")
+    first = F.when(key % 7 != 0, clock)
+    again = F.when(key % 5 != 0, F.timestamp_add("DAY", (key % 11).cast("int"), clock))
+    return t.orders.where(key % 3 == 0 if moved else F.lit(True)).select(
+        F.lit("b1").alias("brand_id"), F.col("o_custkey").cast("string").alias("search_term_id"),
+        key.cast("string").alias("execution_id"), (again if moved else first).alias("executed_at"),
+        F.col("o_orderpriority").alias("engine"), F.lit("again" if moved else "first").alias("answer_text"),
+    )
+
+
+@query("""WITH o AS (SELECT o_orderkey, o_custkey::VARCHAR AS search_term_id, o_orderkey::VARCHAR AS execution_id, o_orderpriority AS engine,
+  CASE WHEN o_orderkey % 3 = 0 THEN CASE WHEN o_orderkey % 5 <> 0 THEN o_orderdate + (o_orderkey % 11) * INTERVAL 1 DAY END
+    WHEN o_orderkey % 7 <> 0 THEN o_orderdate END::TIMESTAMP AS executed_at,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'again' ELSE 'first' END AS answer_text FROM orders)
+SELECT execution_id, search_term_id, strftime(executed_at, '%G-%V') AS snapshot_week, executed_at, engine, answer_text FROM o""")
+def refreshed_answers(t: Tables) -> DataFrame:
+    """An incremental refresh after executions moved between weeks, got or lost their time."""
+    house = Warehouse(scratch_path(t.spark, "refresh"))
+    runs.create_tables(t.spark, house)
+    raw = house.path("raw_answer_texts")
+    for moved, day in ((False, 1), (True, 2)):
+        rows = _executions(t, moved).withColumn(tables.STAMP, F.lit(f"2024-02-0{day} 06:00:00").cast("timestamp"))
+        house.ledger(t.spark).append({raw: rows})
+        runs.incremental_refresh(t.spark, house)
+    return house.read(t.spark, "l1_fact_answer_texts")
+
+
+@query("""SELECT coalesce(s.k, t.k) AS k, CASE WHEN s.k IS NOT NULL THEN s.price ELSE t.price END AS price,
+  coalesce(s.owner, t.owner) AS owner,
+  (s.k IS NOT NULL OR t.owner NOT IN (SELECT o_orderpriority FROM orders WHERE o_orderpriority < '3')) AS is_active
+FROM (SELECT o_orderkey AS k, o_totalprice AS price, o_orderpriority AS owner FROM orders WHERE o_orderstatus <> 'P') t
+FULL JOIN (SELECT o_orderkey AS k, o_totalprice * 2 AS price, o_orderpriority AS owner FROM orders
+  WHERE o_orderstatus <> 'F' AND o_orderpriority < '3') s ON t.k = s.k""")
+def upserted_table(t: Tables) -> DataFrame:
+    """Merge into a stored table: rows of the owners in the batch that are missing from it are deactivated, twice over."""
+    rows = t.orders.select(
+        F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("owner"),
+        F.lit(True).alias("is_active"), tables.run_stamp(RUN).alias("loaded_at"), "o_orderstatus",
+    )
+    path, stored = scratch_path(t.spark, "upsert"), rows.where("o_orderstatus <> 'P'").drop("o_orderstatus")
+    tables.replace_table(stored, path)
+    batch = rows.where("o_orderstatus <> 'F' AND owner < '3'").withColumn("price", F.col("price") * 2)
+    batch = batch.drop("o_orderstatus", "loaded_at")
+    for _ in range(2):
+        tables.upsert_table(t.spark, path, stored.schema, batch, "k", RUN, scope_keys="owner")
+    return tables.read_table(t.spark, path, stored.schema).drop("loaded_at")
+
+
 # --- freshness and windows ----------------------------------------------------------------
 
 GATE = f"""{b.SNAP}, marks AS (SELECT brand_name AS brand_id, max(last_snapshot_at) AS m FROM snap GROUP BY ALL),

@@ -1,9 +1,10 @@
 """Landed payload files.
 
-A payload is what one request returned: one JSON document per file, below folders
+A payload is what one request returned: one JSON document, below folders
 that carry the request's parameters, for example
 ``<landing>/term_report/brand_id=b1/run=2026-05-19/part.json``. The folder names
-become columns (text), the document becomes the column ``data``.
+become columns (text), the document becomes the column ``data``. Files named ``.json`` hold one document; files
+of lines (``.jsonl``, ``.ndjson`` or ``.txt``) hold one in each line, can be split and so read by many tasks. Other files are not read.
 """
 
 from __future__ import annotations
@@ -16,6 +17,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
 CORRUPT = "_corrupt_record"
+#: Names of files that hold one document, and of files with a document in every line.
+WHOLE = "*.{json,json.gz}"
+LINES = "*.{jsonl,jsonl.gz,ndjson,ndjson.gz,txt,txt.gz}"
+
+
+def file_name() -> Column:
+    """The file a row was read from, as Spark names it."""
+    return F.col("_metadata.file_path")
 
 
 def payload_schema(schema: StructType, parameters: Sequence[str] = ()) -> StructType:
@@ -27,15 +36,24 @@ def payload_schema(schema: StructType, parameters: Sequence[str] = ()) -> Struct
 
 
 def read_payloads(
-    spark: SparkSession, path: str, schema: StructType, parameters: Sequence[str] = ("brand_id",)
+    spark: SparkSession, path: str, schema: StructType, parameters: Sequence[str] = ("brand_id",), named: bool = False
 ) -> DataFrame:
-    """Payload files below ``path``: the request parameters, ``data`` and ``_corrupt_record``."""
-    return (
-        spark.read.schema(payload_schema(schema, parameters))
-        .option("multiLine", True).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-    )
+    """Payload files below ``path``: the request parameters, ``data`` and ``_corrupt_record``.
+
+    ``named`` adds the ``file`` of each document.
+    """
+    def documents(names: str, whole: bool) -> DataFrame:
+        return (
+            spark.read.schema(payload_schema(schema, parameters))
+            .option("multiLine", whole).option("mode", "PERMISSIVE").option("pathGlobFilter", names)
+            .option("columnNameOfCorruptRecord", CORRUPT)
+            .json(path)
+        )
+
+    found = [documents(WHOLE, True), documents(LINES, False)]
+    if named:
+        found = [part.withColumn("file", file_name()) for part in found]
+    return found[0].unionByName(found[1])
 
 
 def parse_payloads(df: DataFrame, schema: StructType, text: str = "payload") -> DataFrame:

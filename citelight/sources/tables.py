@@ -1,11 +1,16 @@
 """Parquet tables: layout, loads and merges.
 
 Tables are folders of Parquet files read with an explicit schema, so a column added
-to the schema later reads as NULL from older files.
+to the schema later reads as NULL from older files. A table that is replaced as a whole
+has a sub-folder per version; a commit (see :mod:`citelight.sources.commits`) names the
+one that counts, and is the last thing a replacing job writes. Until then readers see the old rows,
+also if the job fails. The version before stays for those who still read it.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
@@ -15,6 +20,7 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 from ..operators.latest import last_in_batch, latest_per_key
 from ..operators.share import join_null_safe
 from ..session import staged
+from . import commits
 
 STAMP = "etl_loaded_at"
 
@@ -26,15 +32,20 @@ def run_stamp(run_time: datetime) -> Column:
     return F.lit(run_time.astimezone(timezone.utc).isoformat()).cast("timestamp")
 
 
+def table_path(spark: SparkSession, path: str) -> str:
+    """The folder that holds the table's rows now."""
+    folder = commits.newest(spark, f"{path}/_commits")[1].get("folder")
+    return f"{path}/{folder}" if folder else path
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The table at ``path``; columns its files do not have are NULL."""
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(table_path(spark, path))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether anything is stored at ``path`` (one metadata call, no file listing)."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    return commits.exists(spark, path)
 
 
 def ensure_table(spark: SparkSession, path: str, schema: StructType, partitions: Sequence[str] = ()) -> bool:
@@ -47,9 +58,7 @@ def ensure_table(spark: SparkSession, path: str, schema: StructType, partitions:
 
 def empty_table(spark: SparkSession, path: str, schema: StructType, partitions: Sequence[str] = ()) -> None:
     """Remove all rows, keeping the table."""
-    spark.createDataFrame([], schema).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).partitionBy(*partitions).parquet(path)
+    replace_table(spark.createDataFrame([], schema), path, partitions)
 
 
 def add_column(spark: SparkSession, table: str, name: str, kind: str) -> None:
@@ -75,23 +84,23 @@ def laid_out(df: DataFrame, partitions: Sequence[str], cluster: Sequence[str]) -
     return df
 
 
-def replace_table(
-    df: DataFrame,
-    path: str,
-    partitions: Sequence[str] = (),
-    cluster: Sequence[str] = (),
-    reads_itself: bool = False,
-) -> None:
-    """Create or replace the table with ``df``.
+def replace_table(df: DataFrame, path: str, partitions: Sequence[str] = (), cluster: Sequence[str] = ()) -> None:
+    """Create or replace the table with ``df``, which may read the table itself."""
+    spark = df.sparkSession
+    number, before = commits.newest(spark, f"{path}/_commits")
+    folder = f"v{number + 1}-{uuid.uuid4().hex}"
+    laid_out(df, partitions, cluster).write.partitionBy(*partitions).parquet(f"{path}/{folder}")
+    commits.commit(spark, f"{path}/_commits", number + 1, {"folder": folder})
+    _remove_versions(spark, path, number, before.get("folder"))
 
-    With ``reads_itself`` the new content is first written to the shared folder,
-    because ``df`` reads the table it replaces.
-    """
-    if reads_itself:
-        df = staged(df, "replace")
-    laid_out(df, partitions, cluster).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).partitionBy(*partitions).parquet(path)
+
+def _remove_versions(spark: SparkSession, path: str, number: int, before: str | None) -> None:
+    """Delete what is older than version ``number`` in folder ``before``, also rows stored before there were versions."""
+    for name in commits.children(spark, path):
+        version = re.fullmatch(r"v(\d+)-[0-9a-f]{32}", name)
+        old = name != before and int(version[1]) <= number if version else before is not None and name[0] not in "_."
+        if old:
+            commits.remove(spark, f"{path}/{name}")
 
 
 # --- loads --------------------------------------------------------------------------------
@@ -100,14 +109,14 @@ def replace_table(
 def append_rows(rows: DataFrame, path: str, run_time: datetime, partitions: Sequence[str] = ()) -> None:
     """Append a batch, every row stamped with the run's time. An empty batch adds nothing."""
     stamped = rows.withColumn(STAMP, run_stamp(run_time))
-    stamped.write.mode("append").partitionBy(*partitions).parquet(path)
+    stamped.write.mode("append").partitionBy(*partitions).parquet(table_path(rows.sparkSession, path))
 
 
 def truncate_load(rows: DataFrame, path: str, run_time: datetime) -> bool:
     """Replace a table by a batch stamped ``loaded_at``; an empty batch changes nothing."""
     if rows.isEmpty():
         return False
-    stringify_nested(rows).withColumn("loaded_at", run_stamp(run_time)).write.mode("overwrite").parquet(path)
+    replace_table(stringify_nested(rows).withColumn("loaded_at", run_stamp(run_time)), path)
     return True
 
 
@@ -147,7 +156,7 @@ def overwrite_days(
         dated = staged(dated.unionByName(kept), "days")
     laid_out(dated, [day], cluster).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
-    ).partitionBy(day).parquet(path)
+    ).partitionBy(day).parquet(table_path(spark, path))
 
 
 def new_rows(target: DataFrame, batch: DataFrame, key: str, sequence: str | None = None) -> DataFrame:
@@ -165,7 +174,7 @@ def append_new(
 ) -> None:
     """Append only rows whose key is not stored yet."""
     fresh = new_rows(read_table(spark, path, schema), rows, key)
-    fresh.withColumn("loaded_at", run_stamp(run_time)).write.mode("append").parquet(path)
+    fresh.withColumn("loaded_at", run_stamp(run_time)).write.mode("append").parquet(table_path(spark, path))
 
 
 def upsert(
@@ -233,7 +242,7 @@ def upsert_table(
         target = target.join(present, scope_keys, "left").select(*target.columns, "_in_batch")
         scope = F.col("_in_batch")
     merged = upsert(target, source, key, run_stamp(run_time), scope, sequence)
-    replace_table(merged.select(*schema.names), path, reads_itself=True)
+    replace_table(merged.select(*schema.names), path)
     return True
 
 

@@ -2,8 +2,8 @@
 
 The rows are those of the batch load. One call processes everything that has
 arrived and stops; progress is kept in a folder all executors share, so a
-restarted run continues where the last one ended. A batch repeated after a failure
-appends its rows again, which the latest-state tables reduce to one.
+restarted run continues where the last one ended. Every batch has a folder of its own in
+the table (column ``batch``), which a batch repeated after a failure replaces, so each file counts once.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from ..session import staged
 from ..sources.payloads import CORRUPT, payload_schema, split_corrupt
-from ..sources.tables import append_rows
+from ..sources.tables import STAMP, run_stamp
 
 
 def land_new_payloads(
@@ -31,7 +31,7 @@ def land_new_payloads(
     parameters: Sequence[str] = ("brand_id",),
     endpoint: str = "",
 ) -> None:
-    """Append the rows of payload files not seen before to ``table``, files that cannot be used to ``quarantine``.
+    """Add the rows of payload files not seen before to ``table``, files that cannot be used to ``quarantine``.
 
     Naming the ``endpoint`` also sets incomplete documents aside, as the batch load does.
     """
@@ -42,10 +42,10 @@ def land_new_payloads(
         .json(path)
     )
 
-    def store(batch: DataFrame, _: int) -> None:
+    def store(batch: DataFrame, number: int) -> None:
         good, bad = split_corrupt(staged(batch, "landed"), endpoint)
-        append_rows(flatten(good), table, run_time)
-        append_rows(bad.select(*parameters, CORRUPT), quarantine, run_time)
+        for rows, path in ((flatten(good), table), (bad.select(*parameters, CORRUPT), quarantine)):
+            rows.withColumn(STAMP, run_stamp(run_time)).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     query = (
         landed.writeStream.foreachBatch(store).option("checkpointLocation", progress)

@@ -119,14 +119,15 @@ def land(root, endpoint, document, **parameters):
     return path
 
 
-def land_all(root):
-    land(root, "brands", BRANDS)
-    land(root, "search_terms", TERMS_B1, brand_id="b1")
-    land(root, "search_terms", TERMS_B2, brand_id="b2")
-    land(root, "term_report", REPORT_B1, brand_id="b1")
-    land(root, "term_report", REPORT_B2, brand_id="b2")
-    land(root, "citations", CITATIONS_B1, brand_id="b1")
-    land(root, "topics", TOPICS_B1, brand_id="b1")
+def land_all(root, **run):
+    """Payloads of every endpoint, all below the folder of ``run`` if one is given."""
+    land(root, "brands", BRANDS, **run)
+    land(root, "search_terms", TERMS_B1, brand_id="b1", **run)
+    land(root, "search_terms", TERMS_B2, brand_id="b2", **run)
+    land(root, "term_report", REPORT_B1, brand_id="b1", **run)
+    land(root, "term_report", REPORT_B2, brand_id="b2", **run)
+    land(root, "citations", CITATIONS_B1, brand_id="b1", **run)
+    land(root, "topics", TOPICS_B1, brand_id="b1", **run)
     land(root, "report", report(["2026-04-07", "2026-04-14"], [10, 20], {"Rival": [30, 40]}),
-         brand_id="b1", topic_id="p1")
-    land(root, "report", report(["2026-04-07"], [1], {}), brand_id="b1", topic_id="p2")
+         brand_id="b1", topic_id="p1", **run)
+    land(root, "report", report(["2026-04-07"], [1], {}), brand_id="b1", topic_id="p2", **run)

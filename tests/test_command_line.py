@@ -13,9 +13,13 @@ def test_commands(spark, tmp_path):
     count = lambda table: house.read(spark, table).count()
     assert call("extract", "--landing", landing) == 0
     assert call("extract", "--landing", landing, "--backfill") == 0
+    assert count("raw_brand_snapshots") == 6  # the same files count once
+    samples.land_all(f"{landing}-2", run="2026-04-14")
+    assert call("extract", "--landing", f"{landing}-2", "--backfill") == 0
     assert count("raw_brand_snapshots") == 12
     assert call("refresh") == 0 and count("l2_snapshots") == 6
     assert call("refresh", "--since", "2026-04-14T00:00:00") == 0 and count("l2_snapshots") == 6
+    assert call("refresh", "--changed") == 0 and count("l2_snapshots") == 6
 
     # The daily report load covers a week, a backfill its range.
     assert call("report", "--landing", landing, at="2026-04-15T06:00:00+00:00") == 0

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from citelight.sources import freshness, tables
+from citelight.sources import commits, freshness, tables
 
 RUN = datetime(2026, 4, 22, 6, tzinfo=timezone.utc)
 TARGET = "k string, v string, owner string, is_active boolean, loaded_at timestamp"
@@ -106,17 +106,51 @@ def test_a_large_day_is_split_over_tasks(spark, tmp_path):
         tables.replace_table(rows, path, ["day"], ["v"])
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory)
-    files = spark.read.parquet(path).select("day", F.input_file_name().alias("f")).distinct()
+    stored = tables.read_table(spark, path, rows.schema)
+    files = stored.select("day", F.input_file_name().alias("f")).distinct()
     per_day = {str(r.day): r["count"] for r in files.groupBy("day").count().collect()}
     assert per_day["2026-04-01"] > 3
-    assert spark.read.parquet(path).count() == 300_000
+    assert stored.count() == 300_000
 
 
 def test_replace_reads_itself(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(10).write.parquet(path)
-    tables.replace_table(spark.read.parquet(path).where("id < 4"), path, reads_itself=True)
-    assert spark.read.parquet(path).count() == 4
+    read = lambda: tables.read_table(spark, path, spark.range(1).schema)
+    tables.replace_table(read().where("id < 4"), path)
+    before = read()
+    assert before.count() == 4
+    tables.replace_table(read().where("id < 2"), path)
+    # Who still reads the version before can go on; the one before that is gone.
+    assert (read().count(), before.count()) == (2, 4)
+    tables.replace_table(read(), path)
+    assert [name[:2] for name in commits.children(spark, path) if name[0] == "v"] == ["v2", "v3"]
+
+
+def test_a_replacing_job_that_fails_leaves_the_table(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), spark.range(1).schema
+    tables.replace_table(spark.range(10), path)
+    broken = spark.range(0, 1000, 1, 8).selectExpr("IF(id = 999, raise_error('midway'), id) AS id")
+    with pytest.raises(Exception, match="midway"):
+        tables.replace_table(broken, path)
+    assert tables.read_table(spark, path, schema).count() == 10
+    with pytest.raises(Exception, match="midway"):
+        tables.truncate_load(broken, path, RUN)
+    tables.replace_table(spark.range(3), path)
+    assert tables.read_table(spark, path, schema).count() == 3
+
+
+def test_of_two_writers_one_is_told(spark, tmp_path):
+    folder = str(tmp_path / "c" / "_commits")
+    assert commits.newest(spark, folder) == (0, {})
+    commits.commit(spark, folder, 1, {"by": "a"})
+    with pytest.raises(commits.Conflict):
+        commits.commit(spark, folder, 1, {"by": "b"})
+    assert commits.newest(spark, folder) == (1, {"by": "a"})
+    for number in range(2, 12):
+        commits.commit(spark, folder, number, {"by": str(number)})
+    assert commits.newest(spark, folder) == (11, {"by": "11"})
+    assert len(commits.children(spark, folder)) == commits.KEPT + 1
 
 
 def test_tables_exist_once(spark, tmp_path):
@@ -148,7 +182,7 @@ def test_truncate_load_keeps_the_table_for_an_empty_batch(spark, tmp_path):
     rows = spark.sql("SELECT 1 AS id, array('ř', 'b') AS tags")
     assert tables.truncate_load(rows, path, RUN)
     assert not tables.truncate_load(rows.where("false"), path, RUN)
-    stored = spark.read.parquet(path).first()
+    stored = spark.read.parquet(tables.table_path(spark, path)).first()
     assert stored.tags == '["ř","b"]' and stored.loaded_at == datetime(2026, 4, 22, 6)
 
 

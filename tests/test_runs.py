@@ -7,7 +7,7 @@ import samples
 from citelight import schemas
 from citelight.plans import runs
 from citelight.plans.runs import Warehouse
-from citelight.sources.tables import append_rows
+from citelight.sources import tables
 
 
 def at(day, hour=6):
@@ -31,11 +31,18 @@ def test_extract_and_build(spark, tmp_path, landing):
     count = lambda t: house.read(spark, t).count()
     assert [count(t) for t in schemas.RAW_TABLES] == [2, 4, 6, 2, 5, 0]
 
-    # Same payloads again: the gate skips both brands' snapshots and texts, the rest is appended.
-    runs.load_raw(spark, landing, house, at(23))
+    # A repeated run finds nothing to do.
+    runs.load_raw(spark, landing, house, at(23), backfill=True)
+    assert [count(t) for t in schemas.RAW_TABLES] == [2, 4, 6, 2, 5, 0]
+    # Same payloads from another extract: the gate skips both brands' snapshots and texts, the rest is appended.
+    second = str(tmp_path / "second")
+    samples.land_all(second, run="2026-04-23T06-00-00")
+    runs.load_raw(spark, second, house, at(30))
     assert [count(t) for t in schemas.RAW_TABLES] == [4, 8, 6, 2, 10, 0]
+    assert house.read(spark, "raw_brands").agg(F.max("etl_loaded_at")).first()[0].day == 23
     # A backfill loads regardless.
-    runs.load_raw(spark, landing, house, at(23, 8), backfill=True)
+    samples.land_all(second, run="2026-04-24")
+    runs.load_raw(spark, second, house, at(30), backfill=True)
     assert count("raw_brand_snapshots") == 12
 
     runs.full_refresh(spark, house)
@@ -119,8 +126,10 @@ def test_reports_and_refreshes_skip_what_they_do_not_need(spark, plan_of, tmp_pa
     facts = house.read(spark, "l2_snapshots")
     assert "(snapshot_week#" in plan_of(reports.in_week(facts, as_of)).split("PartitionFilters: [")[1].split("]")[0]
     assert "GreaterThanOrEqual(snapshot_date,2026-03-23)" in plan_of(reports.recent(facts, "snapshot_date", as_of))
-    plan = plan_of(runs.rows_of_touched_weeks(
-        house.read(spark, "raw_brand_snapshots"), ("last_snapshot_at", "etl_loaded_at"), at(21)))
+    touched, _ = runs.rows_of_touched_weeks(
+        house.read(spark, "raw_brand_snapshots"), ("last_snapshot_at", "etl_loaded_at"),
+        F.col("etl_loaded_at") >= tables.run_stamp(at(21)))
+    plan = plan_of(touched)
     pushed = plan.split("PushedFilters: [")[1].split("]")[0]
     assert "GreaterThanOrEqual(last_snapshot_at,2026-04-20" in pushed and "IsNull(last_snapshot_at)" in pushed
 
@@ -137,7 +146,11 @@ def test_incremental_refresh_equals_full(spark, tmp_path, landing):
         "brand_id string, search_term_id string, engine string, topic_id string, topic_name string,"
         " last_snapshot_at string, brand_name string, is_own_brand boolean, visibility_score double",
     ).withColumn("last_snapshot_at", F.to_timestamp("last_snapshot_at"))
-    append_rows(later, house.path("raw_brand_snapshots"), at(29))
+    stored = later.select(*[
+        F.col(f.name) if f.name in later.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in schemas.RAW_TABLES["raw_brand_snapshots"].fields if f.name != tables.STAMP
+    ]).withColumn(tables.STAMP, tables.run_stamp(at(29)))
+    house.ledger(spark).append({house.path("raw_brand_snapshots"): stored})
     runs.incremental_refresh(spark, house, at(29))
     fast = {t: rows(house.read(spark, t)) for t in schemas.FACTS}
     moved = house.read(spark, "l1_fact_snapshots").where("search_term_id = 't1' and brand_name = 'Rival'").collect()
@@ -173,7 +186,7 @@ def test_report_run(spark, tmp_path, landing):
 def test_load_by_date(spark, tmp_path, landing):
     house = Warehouse(str(tmp_path / "house"))
     assert runs.load_by_date(spark, landing, house, at(22)).ok
-    read = lambda t, s: spark.read.schema(s).parquet(house.path(t))
+    read = lambda t, s: tables.read_table(spark, house.path(t), s)
     snaps = read("brand_snapshots", schemas.DATED_BRAND_SNAPSHOTS)
     assert snaps.count() == 6
     unnamed = snaps.where("search_term_id = 't3'").first()

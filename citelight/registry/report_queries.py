@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import engine_provider, iso_week, mean, round_to, safe_divide, total, url_domain
 from ..operators import eav
-from ..operators.mentions import detection_metrics, mention_rank as rank_mentions, mentions, words_of
+from ..operators.mentions import detection_metrics, mention_rank as rank_mentions, mentions
 from ..operators.rank import split_rank
 from ..operators.trend import change_from_previous, moving_average, weekly_values
 from ..plans import layers, reports
@@ -269,22 +269,22 @@ def latest_answers(t: Tables) -> DataFrame:
 
 
 WORDS = r"list_filter(string_split_regex(lower({text}), '[^\p{{L}}\p{{N}}'']+'), lambda w: w <> '')"
-MENTIONS = f"""names AS (SELECT DISTINCT 'brand-' || (item_id // 10)::VARCHAR AS brand_name,
-    {WORDS.format(text='text')}[1] AS word FROM benchmark),
-places AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS pos
+MENTIONS = f"""spelled AS (SELECT 'brand-' || (item_id // 10)::VARCHAR AS brand_name, text AS spelling FROM benchmark
+  UNION ALL SELECT 'brand-' || (item_id // 10)::VARCHAR, unnest(string_split_regex(text, '[.!?\n]+')) FROM benchmark),
+names AS (SELECT DISTINCT brand_name, {WORDS.format(text='spelling')} AS w FROM spelled WHERE len({WORDS.format(text='spelling')}) > 0),
+places AS (SELECT doc_id, words, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS pos
   FROM (SELECT doc_id, {WORDS.format(text='text')} AS words FROM documents)),
-found AS (SELECT doc_id, brand_name, count(*) AS mention_count, min(pos)::BIGINT AS first_position
-  FROM places JOIN names USING (word) GROUP BY ALL),
+found AS (SELECT doc_id, brand_name, count(DISTINCT pos) AS mention_count, min(pos)::BIGINT AS first_position
+  FROM places JOIN names ON word = w[1] AND words[pos + 1 : pos + len(w)] = w GROUP BY ALL),
 ranked AS (SELECT *, rank() OVER (PARTITION BY doc_id ORDER BY first_position) AS position_rank FROM found)"""
 
 
 def _ranked_mentions(t: Tables) -> DataFrame:
-    """Brands whose spellings are the first words of the benchmark texts, found in all documents."""
-    names = t.benchmark.select(
-        F.concat(F.lit("brand-"), F.floor(F.col("item_id") / 10).cast("string")).alias("brand_name"),
-        words_of(F.col("text"))[0].alias("spelling"),
-    )
-    return rank_mentions(mentions(t.documents, names, "text", "doc_id"), "doc_id")
+    """Brands whose spellings are the benchmark texts and all their sentences, found in all documents."""
+    brand = F.concat(F.lit("brand-"), F.floor(F.col("item_id") / 10).cast("string")).alias("brand_name")
+    whole = t.benchmark.select(brand, F.col("text").alias("spelling"))
+    sentences = t.benchmark.select(brand, F.explode(F.split("text", r"[.!?\n]+")).alias("spelling"))
+    return rank_mentions(mentions(t.documents, whole.unionByName(sentences), "text", "doc_id"), "doc_id")
 
 
 @query(f"WITH {MENTIONS} SELECT * FROM ranked")

@@ -19,12 +19,12 @@ def brute_force(texts, names):
 
 
 def check(spark, texts, names):
-    for few in (0, 1000):  # shuffled and broadcast spellings
-        df = mentions(
-            spark.createDataFrame(texts, "id string, text string"),
-            spark.createDataFrame(names, "brand_name string, spelling string"), "text", "id", few)
-        got = {(r.id, r.brand_name): (r.mention_count, r.first_position) for r in df.collect()}
-        assert got == brute_force(texts, names)
+    df = mentions(
+        spark.createDataFrame(texts, "id string, text string"),
+        spark.createDataFrame(names, "brand_name string, spelling string"), "text", "id")
+    got = {(r.id, r.brand_name): (r.mention_count, r.first_position) for r in df.collect()}
+    assert got == brute_force(texts, names)
+    return got
 
 
 def test_single_words(spark):
@@ -39,6 +39,26 @@ def test_phrases_against_brute_force(spark):
     check(spark, texts, [("Air Bank", "Air Bank"), ("Air Bank", "airbank"), ("Money", "money air bank"), ("Bank", "bank")])
 
 
+def test_spellings_of_any_length(spark):
+    """Spellings of every length from 1 to 40 words, cut from the texts, some with one word changed."""
+    rng = random.Random(3)
+    texts = [(str(i), " ".join(rng.choice("abc") for _ in range(rng.randint(0, 120)))) for i in range(20)]
+    names = []
+    for n in [*range(1, 20), 31, 32, 33, 40]:
+        words = next(w for w in (t.split() for _, t in rng.sample(texts, len(texts))) if len(w) > n + 1)
+        at = rng.randrange(len(words) - n)
+        names.append((f"cut {n}", " ".join(words[at: at + n])))
+        changed = words[at: at + n]
+        changed[rng.randrange(n)] = "z"
+        names.append((f"changed {n}", " ".join(changed)))
+    got = check(spark, texts, [*names, ("none", ""), ("none", "...")])
+    assert {b for _, b in got} == {b for b, _ in names if b.startswith("cut")}
+
+
+def test_no_names_and_no_words(spark):
+    assert check(spark, [("1", "a b"), ("2", "")], [("x", " ,")]) == {}
+
+
 def test_rank_and_detection(spark):
     texts = [("1", "b then a then b"), ("2", "a"), ("3", "nothing")]
     found = mentions(

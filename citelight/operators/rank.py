@@ -1,4 +1,4 @@
-"""RANK within a group, also for groups too large for one task."""
+"""RANK within a group of any size."""
 
 from __future__ import annotations
 
@@ -9,28 +9,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..session import staged
 from .share import attach_group_values, join_null_safe
 
-# A group up to this many rows is ranked by one window; beyond it the ranking is split.
-WINDOW_ROWS = 2_000_000
-
-
-def rank_in_group(
-    df: DataFrame, group: Sequence[str], by: str, out: str = "rank", window_rows: int = WINDOW_ROWS
-) -> DataFrame:
-    """``RANK() OVER (PARTITION BY group ORDER BY by DESC)``, NULLs last.
-
-    The size of the largest group is counted first (one aggregate). Groups that fit
-    a task are ranked by a window; otherwise by :func:`split_rank`.
-    """
-    sizes = df.groupBy(*group).count()
-    largest = sizes.agg(F.max("count")).first()[0] or 0
-    if largest <= window_rows:
-        window = Window.partitionBy(*group).orderBy(F.desc_nulls_last(by))
-        return df.withColumn(out, F.rank().over(window).cast("long"))
-    return split_rank(df, group, by, out)
-
-
-def split_rank(df: DataFrame, group: Sequence[str], by: str, out: str = "rank") -> DataFrame:
-    """The same rank without ever holding a whole group in one task.
+def rank_in_group(df: DataFrame, group: Sequence[str], by: str, out: str = "rank") -> DataFrame:
+    """``RANK() OVER (PARTITION BY group ORDER BY by DESC)``, NULLs last, without ever holding a whole group in one task.
 
     Equal values are counted first, so ties collapse. The counts are sorted across
     the cluster by range, which cuts a large group into consecutive pieces; they are
@@ -54,6 +34,6 @@ def split_rank(df: DataFrame, group: Sequence[str], by: str, out: str = "rank")
     )
     above = pieces.withColumn("_above", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
     ranks = join_null_safe(above, starts, [*group, "_piece"], "inner").select(
-        *group, by, "_n", (F.col("_before") + F.col("_above") + 1).alias(out)
+        *group, by, (F.col("_before") + F.col("_above") + 1).alias(out)
     )
-    return attach_group_values(df, ranks, [*group, by], "_n")
+    return attach_group_values(df, ranks, [*group, by])

@@ -20,53 +20,21 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(other, match, how).drop(*[f"_r_{k}" for k in keys])
 
 
-# A group of at least this many rows is hot: its rows are spread over tasks by a salt.
-HOT_ROWS = 1_000_000
-SALTS = 4096
-
-
-def attach_group_values(
-    df: DataFrame, groups: DataFrame, keys: Sequence[str], rows: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def attach_group_values(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join of per-group values back to the rows of the groups (NULL keys match).
 
-    ``groups`` has one row per group, with the group's row count in ``rows``. There are
-    at most (all rows / ``hot_rows``) hot groups, so their values can be broadcast. Rows
-    of hot groups get them there, and carry a salt in the shuffled join that serves all
-    other groups, so no task receives a hot group.
+    ``groups`` has one row per group. At run time adaptive execution broadcasts it if it is small; else it is
+    shuffled, and the rows of a hot group are dealt to several tasks that each read the group's one row.
     """
-    values = [c for c in groups.columns if c not in keys and c != rows]
-    hot = groups.where(F.col(rows) >= hot_rows).select(
-        *keys, F.struct(*values).alias("_hot")
-    )
-    others = groups.where(F.col(rows) < hot_rows).select(
-        *keys, F.lit(0).alias("_salt"), F.struct(*values).alias("_other")
-    )
-    # The salt is the row's number in its task, so equal rows of a hot group spread as well.
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
-    spread = join_null_safe(df, F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNotNull(), salt).otherwise(F.lit(0))
-    )
-    joined = join_null_safe(spread, others, [*keys, "_salt"], "left")
-    found = F.coalesce("_hot", "_other")
-    return joined.select(*df.columns, *[found[v].alias(v) for v in values])
+    return join_null_safe(df, groups, keys, "left")
 
 
-def share_of_voice(
-    df: DataFrame,
-    value: str,
-    within: Sequence[str],
-    out: str = "ai_share_of_voice",
-    digits: int | None = None,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def share_of_voice(df: DataFrame, value: str, within: Sequence[str], out: str = "ai_share_of_voice") -> DataFrame:
     """Each row's ``value`` over the sum of ``value`` in its group; NULL for a zero sum.
 
     The group sums are aggregated first (partial sums before the shuffle) and joined
     back; a window over the group would put all rows of a hot group in one task.
     """
-    sums = df.groupBy(*within).agg(
-        total(F.col(value), digits).alias("_sum"), F.count(F.lit(1)).alias("_rows")
-    )
-    joined = attach_group_values(df, sums, within, "_rows", hot_rows)
+    sums = df.groupBy(*within).agg(total(F.col(value)).alias("_sum"))
+    joined = attach_group_values(df, sums, within)
     return joined.withColumn(out, safe_divide(F.col(value), F.col("_sum"))).drop("_sum")

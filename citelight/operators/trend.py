@@ -10,37 +10,29 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions import mean, safe_divide
+from ..functions import mean
 
 
 def daily_moving_average(
     df: DataFrame, key: Sequence[str], day: str, value: str, days: int = 7,
-    digits: int | None = None,
 ) -> DataFrame:
     """Daily mean of ``value`` and its mean over the last ``days`` rows (``<value>_ma``).
 
     The moving mean is over daily means, by rows: days without data are skipped.
     """
-    daily = df.groupBy(*key, day).agg(mean(F.col(value), digits).alias(value))
+    daily = df.groupBy(*key, day).agg(mean(F.col(value)).alias(value))
     return moving_average(daily, key, day, value, days)
 
 
 def moving_average(
     df: DataFrame, key: Sequence[str], order: str, value: str, rows: int = 7,
-    digits: int | None = None,
 ) -> DataFrame:
     """Mean over the current and the ``rows - 1`` preceding rows of each key.
 
     ``df`` holds one row per key and ``order`` value (a report timeline does).
     """
     window = Window.partitionBy(*key).orderBy(order).rowsBetween(1 - rows, 0)
-    if digits is None:
-        moving = F.avg(value).over(window)
-    else:
-        scale = float(10**digits)
-        cents = F.sum(F.rint(F.col(value) * scale).cast("long")).over(window).cast("double")
-        moving = safe_divide(cents / scale, F.count(value).over(window))
-    return df.withColumn(f"{value}_ma", moving)
+    return df.withColumn(f"{value}_ma", mean(F.col(value), over=window))
 
 
 def change_from_previous(
@@ -67,9 +59,9 @@ def direction(change: Column, larger_is_better: bool = True) -> Column:
 
 
 def weekly_values(
-    df: DataFrame, key: Sequence[str], week: str, values: Sequence[str], digits: int | None = None
+    df: DataFrame, key: Sequence[str], week: str, values: Sequence[str]
 ) -> DataFrame:
     """Weekly mean of each value per key."""
-    return df.groupBy(*key, week).agg(*[mean(F.col(v), digits).alias(v) for v in values])
+    return df.groupBy(*key, week).agg(*[mean(F.col(v)).alias(v) for v in values])
 
 

@@ -67,14 +67,14 @@ def snapshot_columns(latest: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def fact_snapshots(raw: DataFrame, digits: int | None = None) -> DataFrame:
+def fact_snapshots(raw: DataFrame) -> DataFrame:
     """Newest snapshot per search term, brand name and ISO week, with share of voice.
 
     Share of voice is computed for every brand, after deduplication. Rows and group
     sums use the same columns of the deduplicating shuffle, so it runs once for both.
     """
     shared = share_of_voice(
-        latest_snapshots(raw), "visibility_score", ["search_term_id", "snapshot_week"], digits=digits
+        latest_snapshots(raw), "visibility_score", ["search_term_id", "snapshot_week"]
     )
     return snapshot_columns(shared, "ai_share_of_voice")
 

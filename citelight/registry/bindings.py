@@ -316,7 +316,7 @@ STAR = """star AS (
 
 
 def sql_mean(value: str, condition: str | None = None, places: int | None = None) -> str:
-    """SQL of ``mean(value, digits=2)``, rounded like ``round_to`` when ``places`` is given."""
+    """SQL of ``mean(value)``, rounded like ``round_to`` when ``places`` is given."""
     if condition:
         value = f"CASE WHEN {condition} THEN {value} END"
     mean = f"(sum(round(({value}) * 100)::BIGINT)::DOUBLE / 1e2 / nullif(count({value}), 0))"

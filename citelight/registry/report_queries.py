@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import engine_provider, iso_week, mean, round_to, safe_divide, total, url_domain
 from ..operators import eav
 from ..operators.mentions import detection_metrics, mention_rank as rank_mentions, mentions
-from ..operators.rank import split_rank
+from ..operators.rank import rank_in_group
 from ..operators.trend import change_from_previous, moving_average, weekly_values
 from ..plans import layers, reports
 from ..sources import freshness
@@ -27,7 +27,7 @@ def _facts(t: Tables) -> DataFrame:
 
 
 def _shared_facts(t: Tables) -> DataFrame:
-    return layers.fact_snapshots(b.snapshots(t), digits=2)
+    return layers.fact_snapshots(b.snapshots(t))
 
 
 def _star(t: Tables) -> DataFrame:
@@ -42,7 +42,7 @@ def _star(t: Tables) -> DataFrame:
 FROM fact WHERE is_own_brand GROUP BY ALL""")
 def weekly_avg_by_dim(t: Tables) -> DataFrame:
     return reports.weekly_averages(
-        _facts(t), ["engine"], ["visibility_score", "avg_rank", "detection_rate"], digits=2
+        _facts(t), ["engine"], ["visibility_score", "avg_rank", "detection_rate"]
     )
 
 
@@ -51,7 +51,7 @@ def weekly_avg_by_dim(t: Tables) -> DataFrame:
 FROM fact WHERE is_own_brand AND snapshot_week = strftime(DATE '{AS_OF}', '%G-%V') GROUP BY ALL""")
 def current_week_by_engine(t: Tables) -> DataFrame:
     return reports.current_week_by(
-        _facts(t), "engine", _as_of(), ["visibility_score", "avg_sentiment"], digits=2
+        _facts(t), "engine", _as_of(), ["visibility_score", "avg_sentiment"]
     )
 
 
@@ -60,7 +60,7 @@ def current_week_by_engine(t: Tables) -> DataFrame:
 FROM fact WHERE NOT is_own_brand AND snapshot_week = strftime(DATE '{AS_OF}', '%G-%V')
 GROUP BY ALL ORDER BY avg_visibility DESC, brand_name LIMIT 10""")
 def competitor_top10(t: Tables) -> DataFrame:
-    return reports.top_competitors(_facts(t), _as_of(), digits=2)
+    return reports.top_competitors(_facts(t), _as_of())
 
 
 @query(f"""WITH {b.SNAP_FACT} SELECT snapshot_week, brand_name, is_own_brand, visibility_score, ai_share_of_voice
@@ -80,7 +80,7 @@ def top_terms(t: Tables) -> DataFrame:
 @query(f"""WITH {b.SNAP_FACT} SELECT topic_id, {b.sql_mean('visibility_score')} AS avg_visibility,
   count(*) AS term_count FROM fact WHERE snapshot_date = DATE '2024-01-20' GROUP BY ALL""")
 def topic_breakdown(t: Tables) -> DataFrame:
-    return reports.topic_breakdown(_facts(t), F.lit("2024-01-20").cast("date"), digits=2)
+    return reports.topic_breakdown(_facts(t), F.lit("2024-01-20").cast("date"))
 
 
 WEEKLY = f"""weekly AS (SELECT search_term_id, snapshot_week, {b.sql_mean('visibility_score')} AS visibility_score,
@@ -97,13 +97,13 @@ trends AS (SELECT search_term_id, snapshot_week, visibility_score, avg_rank,
   CASE WHEN avg_rank_change > 0 THEN 'declined' WHEN avg_rank_change < 0 THEN 'improved' END AS avg_rank_direction
 FROM trends""")
 def trend_vs_previous(t: Tables) -> DataFrame:
-    return reports.term_trends(_facts(t), digits=2)
+    return reports.term_trends(_facts(t))
 
 
 @query(f"""WITH {b.SNAP_FACT}, {WEEKLY} SELECT search_term_id, visibility_score, visibility_score_change,
   'up' AS visibility_score_direction FROM trends WHERE snapshot_week = '2024-03' AND visibility_score_change > 0""")
 def rising_terms(t: Tables) -> DataFrame:
-    return reports.rising_terms(reports.term_trends(_facts(t), digits=2), F.lit("2024-03"))
+    return reports.rising_terms(reports.term_trends(_facts(t)), F.lit("2024-03"))
 
 
 @query("""WITH weekly AS (SELECT l_suppkey, strftime(l_shipdate, '%G-%V') AS week,
@@ -115,7 +115,7 @@ SELECT *, CASE WHEN l_extendedprice_change > 0 THEN 'up' WHEN l_extendedprice_ch
 def weekly_trend_large(t: Tables) -> DataFrame:
     """Weekly means and their change over the largest table."""
     dated = t.lineitem.select("l_suppkey", iso_week("l_shipdate").alias("week"), "l_extendedprice")
-    weekly = weekly_values(dated, ["l_suppkey"], "week", ["l_extendedprice"], digits=2)
+    weekly = weekly_values(dated, ["l_suppkey"], "week", ["l_extendedprice"])
     return change_from_previous(weekly, ["l_suppkey"], "week", {"l_extendedprice": True})
 
 
@@ -126,9 +126,9 @@ SELECT *, (sum(round(visibility * 100)::BIGINT) OVER w)::DOUBLE / 1e2 / nullif(c
 FROM daily WINDOW w AS (PARTITION BY event_type ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""")
 def moving_avg_7(t: Tables) -> DataFrame:
     daily = t.events.groupBy("event_type", F.to_date("ts").alias("day")).agg(
-        total(F.col("value"), 2).alias("visibility")
+        total(F.col("value")).alias("visibility")
     )
-    return moving_average(daily, ["event_type"], "day", "visibility", 7, digits=2)
+    return moving_average(daily, ["event_type"], "day", "visibility", 7)
 
 
 @query("""SELECT o_orderdate::DATE AS day, o_orderkey, o_totalprice FROM orders
@@ -148,19 +148,27 @@ HEAT = ", ".join(f"""{b.sql_mean('visibility_score', f"engine = '{engine}'")} AS
 
 @query(f"WITH {b.SNAP_FACT} SELECT topic_id, {HEAT} FROM fact GROUP BY ALL")
 def heatmap_pivot(t: Tables) -> DataFrame:
-    return reports.heat_map(_facts(t), ENGINES, digits=2)
+    return reports.heat_map(_facts(t), ENGINES)
 
 
 @query(f"""WITH {b.SNAP_FACT} SELECT snapshot_week, topic_id, {b.sql_mean('visibility_score', 'is_own_brand')} AS own,
   {b.sql_mean('visibility_score', 'NOT is_own_brand')} AS competitors FROM fact GROUP BY ALL""")
 def own_and_competitors(t: Tables) -> DataFrame:
-    return reports.own_and_competitors(_facts(t), ["snapshot_week", "topic_id"], digits=2)
+    return reports.own_and_competitors(_facts(t), ["snapshot_week", "topic_id"])
 
 
-@query(f"""WITH {b.SNAP_FACT} SELECT brand_name, sum(round_even(ai_share_of_voice * 1e9, 0)::BIGINT)::DOUBLE / 1e9 /
+@query(f"""WITH {b.SNAP_FACT} SELECT brand_name, sum(ai_share_of_voice::VARCHAR::DECIMAL(38, 30))::DOUBLE /
   nullif(count(ai_share_of_voice), 0) AS avg_share_of_voice FROM fact GROUP BY ALL""")
 def share_by_brand(t: Tables) -> DataFrame:
-    return reports.share_by_brand(_shared_facts(t), places=9)
+    return reports.share_by_brand(_shared_facts(t))
+
+
+@query("""SELECT o_custkey, sum((o_totalprice / 64)::VARCHAR::DECIMAL(38, 24))::DOUBLE AS total,
+  sum((o_totalprice / 64)::VARCHAR::DECIMAL(38, 24))::DOUBLE / count(o_totalprice) AS mean FROM orders GROUP BY ALL""")
+def exact_sums(t: Tables) -> DataFrame:
+    """Sums of values with eight decimals, none of which is rounded before it is added."""
+    value = F.col("o_totalprice") / 64
+    return t.orders.groupBy("o_custkey").agg(total(value).alias("total"), mean(value).alias("mean"))
 
 
 @query("SELECT lang, source, count(*) AS rows, count(DISTINCT n_chars) AS distinct_n_chars FROM documents GROUP BY ALL")
@@ -201,7 +209,7 @@ def rank_in_group_latest(t: Tables) -> DataFrame:
 def rank_in_large_groups(t: Tables) -> DataFrame:
     """Rank where a few groups hold the whole table: no task holds a group."""
     rows = t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice")
-    return split_rank(rows, ["o_orderpriority"], "o_totalprice", "position")
+    return rank_in_group(rows, ["o_orderpriority"], "o_totalprice", "position")
 
 
 @query(f"""WITH {b.REPORT} SELECT snapshot_date, topic_name, visibility_score, mentions::DOUBLE AS sentiment,
@@ -222,6 +230,17 @@ def domain_totals(t: Tables) -> DataFrame:
     return reports.domain_totals(b.citations(t))
 
 
+@query(f"""WITH {b.CITES}, one AS (SELECT min(brand_name) AS brand FROM cites), day AS (SELECT max(snapshot_date) - 200 AS d FROM cites)
+SELECT domain, sum(occurrences)::BIGINT AS total_citations, count(DISTINCT url) AS unique_urls
+FROM cites WHERE snapshot_date BETWEEN (SELECT d FROM day) - 30 AND (SELECT d FROM day) AND brand_name = (SELECT brand FROM one)
+GROUP BY ALL ORDER BY total_citations DESC, domain LIMIT 20""")
+def recent_domain_totals(t: Tables) -> DataFrame:
+    """The domains of 30 days inside the table's years and of one brand."""
+    cited = b.citations(t).withColumn("brand_id", F.col("brand_name"))
+    brand, newest = cited.agg(F.min("brand_id"), F.date_sub(F.max("snapshot_date"), 200)).first()
+    return reports.domain_totals(cited, as_of=F.lit(newest), brand=brand)
+
+
 @query("""SELECT regexp_extract(url, '^https?://([^/?#]+)', 1) AS domain, count(*) AS total_citations,
   count(DISTINCT url) AS unique_urls FROM pages GROUP BY ALL ORDER BY total_citations DESC, domain LIMIT 20""")
 def page_domain_totals(t: Tables) -> DataFrame:
@@ -309,7 +328,7 @@ def mention_detection(t: Tables) -> DataFrame:
   {b.sql_mean('metric_value', "metric_type = 'DETECTION_RATE'", 3)} AS avg_detection
 FROM star GROUP BY ALL""")
 def eav_scorecard(t: Tables) -> DataFrame:
-    return reports.engine_scorecard(reports.metric_star(b.metrics(t), b.runs(t), b.prompts(t)), digits=2)
+    return reports.engine_scorecard(reports.metric_star(b.metrics(t), b.runs(t), b.prompts(t)))
 
 
 @query(f"""WITH {b.STAR} SELECT topic_name, prompt_text, engine_id, count(DISTINCT run_id) AS weeks_tracked,
@@ -317,7 +336,7 @@ def eav_scorecard(t: Tables) -> DataFrame:
   {b.sql_mean('metric_value', "metric_type = 'POSITION_RANK' AND is_own_brand", 1)} AS avg_rank
 FROM star GROUP BY ALL""")
 def prompt_list(t: Tables) -> DataFrame:
-    return reports.prompt_list(_star(t), digits=2)
+    return reports.prompt_list(_star(t))
 
 
 @query(f"""WITH {b.STAR} SELECT topic_name, brand_name, is_own_brand,
@@ -329,7 +348,7 @@ def prompt_list(t: Tables) -> DataFrame:
     AS total_citations
 FROM star GROUP BY ALL""")
 def own_vs_competition(t: Tables) -> DataFrame:
-    return reports.own_vs_competitors(_star(t), digits=2)
+    return reports.own_vs_competitors(_star(t))
 
 
 @query(f"""WITH {b.STAR} SELECT (executed_at::DATE - dayofweek(executed_at)::INTEGER)::DATE AS week, topic_name,
@@ -338,7 +357,13 @@ def own_vs_competition(t: Tables) -> DataFrame:
   {b.sql_mean('metric_value', "metric_type = 'POSITION_RANK'", 1)} AS avg_rank
 FROM star WHERE is_own_brand OR brand_name IN ('brand_A') GROUP BY ALL""")
 def sunday_week_timeline(t: Tables) -> DataFrame:
-    return reports.competition_timeline(_star(t), ["brand_A"], "executed_at", digits=2)
+    return reports.competition_timeline(_star(t), ["brand_A"], "executed_at")
+
+
+@query(f"""WITH {b.STAR} SELECT (executed_at::DATE - dayofweek(executed_at)::INTEGER)::DATE AS week, monitor_name, entity_type,
+  {b.sql_mean('metric_value', None, 3)} AS avg_visibility FROM star WHERE metric_type = 'VISIBILITY' GROUP BY ALL""")
+def monitored_timeline(t: Tables) -> DataFrame:
+    return reports.monitored_timeline(_star(t), "executed_at")
 
 
 @query(f"""WITH {b.STAR}, means AS (SELECT prompt_id, prompt_text, topic_name, engine_id,
@@ -350,14 +375,14 @@ SELECT topic_name, prompt_text, engine_id, {b.sql_round('own', 3)} AS own_visibi
 FROM means WHERE own IS NOT NULL
 ORDER BY gap DESC NULLS LAST, prompt_text, topic_name, engine_id LIMIT 20""")
 def gap_top20(t: Tables) -> DataFrame:
-    return reports.lagging_prompts(_star(t), digits=2)
+    return reports.lagging_prompts(_star(t))
 
 
 @query(f"""WITH {b.STAR} SELECT monitor_name, entity_type, {b.sql_mean('metric_value', None, 3)} AS avg_visibility,
   count(*) AS run_count FROM star WHERE metric_type = 'VISIBILITY' GROUP BY ALL""")
 def avg_by_attribute(t: Tables) -> DataFrame:
     return reports.average_metric(
-        _star(t), "VISIBILITY", ["monitor_name", "entity_type"], "avg_visibility", digits=2
+        _star(t), "VISIBILITY", ["monitor_name", "entity_type"], "avg_visibility"
     )
 
 
@@ -366,21 +391,21 @@ def avg_by_attribute(t: Tables) -> DataFrame:
   {b.sql_mean('metric_value', "metric_type = 'SENTIMENT'", 3)} AS avg_sentiment,
   count(DISTINCT run_id) AS run_count FROM star WHERE entity_type = 'OWN_BRAND' GROUP BY ALL""")
 def product_breakdown(t: Tables) -> DataFrame:
-    return reports.product_breakdown(_star(t), digits=2)
+    return reports.product_breakdown(_star(t))
 
 
 @query(f"""WITH {b.STAR} SELECT ai_provider, ai_model, {b.sql_mean('metric_value', None, 3)} AS avg_sentiment,
   count(*) AS run_count FROM star WHERE metric_type = 'SENTIMENT' AND entity_type = 'OWN_BRAND' GROUP BY ALL""")
 def sentiment_by_model(t: Tables) -> DataFrame:
     own = _star(t).where(F.col("entity_type") == "OWN_BRAND")
-    return reports.average_metric(own, "SENTIMENT", ["ai_provider", "ai_model"], "avg_sentiment", digits=2)
+    return reports.average_metric(own, "SENTIMENT", ["ai_provider", "ai_model"], "avg_sentiment")
 
 
 @query(f"""WITH {b.STAR} SELECT source, entity_type, {b.sql_mean('metric_value', None, 3)} AS recommendation_rate,
   count(*) AS run_count FROM star WHERE metric_type = 'RECOMMENDATION' GROUP BY ALL""")
 def recommendation_by_source(t: Tables) -> DataFrame:
     return reports.average_metric(
-        _star(t), "RECOMMENDATION", ["source", "entity_type"], "recommendation_rate", digits=2
+        _star(t), "RECOMMENDATION", ["source", "entity_type"], "recommendation_rate", first=["source"]
     )
 
 

@@ -103,3 +103,32 @@ def test_lists(spark):
     assert tags("[]") == []
     for broken in ("null", "", "{}", "[", None):
         assert tags(broken) is None
+
+
+def test_exact_sums(spark):
+    from citelight.functions import mean, total
+
+    rows = [("a", 0.1), ("a", 0.2), ("a", 1e13), ("a", -1e13), ("a", 1e-7), ("a", 1.25e-20), ("b", None), ("c", 0.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: (r.t, r.m) for r in df.groupBy("g").agg(total(F.col("v")).alias("t"), mean(F.col("v")).alias("m")).collect()}
+    # Added one after the other in DOUBLE these give 0.3 only by rounding, and lose the small values.
+    assert got == {"a": (0.3000001, 0.3000001 / 6), "b": (None, None), "c": (0.0, 0.0)}
+    parts = spark.range(0, 3000, 1, 7).select((F.col("id") / 10).alias("v"))
+    assert {parts.repartition(n).agg(total(F.col("v"))).first()[0] for n in (1, 2, 5, 11)} == {449850.0}
+
+
+@pytest.mark.parametrize("bad", ["nan", "inf", "-inf", "1e14", "1.2345678901234567e-12"])
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_that_cannot_be_exact_fail(spark, bad, ansi):
+    from citelight.functions import total
+
+    df = spark.createDataFrame([(float(bad),), (1.0,)], "v double")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="not exact in a sum"):
+            df.agg(total(F.col("v"))).collect()
+        many = spark.range(3).select(F.lit(9e13).alias("v"))
+        with pytest.raises(Exception, match="exceeds 38 digits|OVERFLOW|out of range|cannot be represented"):
+            many.agg(total(F.col("v"))).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")

@@ -125,6 +125,12 @@ def test_reports_and_refreshes_skip_what_they_do_not_need(spark, plan_of, tmp_pa
     as_of = F.lit("2026-04-22").cast("date")
     facts = house.read(spark, "l2_snapshots")
     assert "(snapshot_week#" in plan_of(reports.in_week(facts, as_of)).split("PartitionFilters: [")[1].split("]")[0]
+    for plan, first in (
+        (plan_of(reports.recent(facts, "snapshot_date", as_of)), "2026-13"), (plan_of(reports.top_terms(facts, as_of)), "2026-17"),
+        (plan_of(reports.topic_breakdown(facts, as_of)), "2026-17"),
+    ):
+        folders = plan.split("PartitionFilters: [")[1].split("]")[0]
+        assert first in folders and "2026-17" in folders
     assert "GreaterThanOrEqual(snapshot_date,2026-03-23)" in plan_of(reports.recent(facts, "snapshot_date", as_of))
     touched, _ = runs.rows_of_touched_weeks(
         house.read(spark, "raw_brand_snapshots"), ("last_snapshot_at", "etl_loaded_at"),

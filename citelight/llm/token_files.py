@@ -21,6 +21,7 @@ empty table gives no file and an empty result.
 from __future__ import annotations
 
 import hashlib
+import json
 import struct
 import zlib
 from array import array
@@ -29,6 +30,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -48,8 +50,10 @@ FILE_BYTES = 256 << 20
 READERS = 10_000
 #: Letters of a text that may bound a range of rows with equal ids; the rows are sorted by whole texts.
 RANGE_LETTERS = 64
-#: Words and word stems a process remembers.
-REMEMBERED = 200_000
+#: Words that a process remembers in each of its two sets.
+REMEMBERED = 300_000
+#: Text whose distinct words are looked up together.
+SLICE_BYTES = 2 << 20
 
 _HEADER = "<8sI32s"
 _FOOTER = "<QQ8s"
@@ -67,29 +71,59 @@ _SPACE, _FEED = _LETTERS[32], _LETTERS[10]
 _MARKS = ".,;:!?"
 
 
+#: Texts that are encoded whole: special tokens, and white space other than single spaces and line feeds between words.
+_ODD = (
+    r"<\||^$|^[ \n]|[ \n]$|[ \n][ \n]|[\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
+    r"\x{202f}\x{205f}\x{3000}]"
+)
+
+
+def _cuts_like_bytes(form: dict) -> bool:
+    """Whether a tokenizer file splits as :class:`Encoder` does: byte-level with its own pattern and nothing before or around it."""
+    cut = form.get("pre_tokenizer") or {}
+    return (
+        cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+        and form.get("normalizer") is None and form["model"].get("type") == "BPE"
+        and not form["model"].get("end_of_word_suffix") and not form["model"].get("continuing_subword_prefix")
+        and all("<|" in t["content"] for t in form.get("added_tokens", []))
+        and not form.get("truncation") and not form.get("padding")
+    )
+
+
 class Encoder:
     """Ids of whole texts as little-endian 32-bit bytes.
 
     The vocabulary's splitting cuts a text before a single space or line feed between other
     characters, after such a line feed, and between letters and closing marks; what lies between
-    is encoded once and remembered. Other texts and words go to the tokenizer as they are.
+    is encoded once and remembered. The distinct words of a slice are looked up once and their ids put together by
+    position. Remembered words are held in two sets: a full younger one becomes the older, which is forgotten, and
+    words found in the older move to the younger, so frequent words stay. Other texts and words go to the tokenizer
+    as they are, and so do all texts of a tokenizer that splits otherwise.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path) as stream:
+            self.fast = _cuts_like_bytes(json.load(stream))
         self.words: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _core(self, letters: str) -> bytes:
-        known = self.cores.get(letters)
-        if known is None:
-            known = self.cores[letters] = array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
-        return known
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+
+    def _mark(self, marks: str) -> bytes:
+        """Ids of a line feed or closing marks; only short ones are remembered, which are few."""
+        if len(marks) > 3:
+            return self._core(marks)
+        if marks not in self.marks:
+            self.marks[marks] = self._core(marks)
+        return self.marks[marks]
 
     def _word(self, word: str) -> bytes:
         """A word after a space or, if it begins with one, after a line feed."""
@@ -98,28 +132,54 @@ class Encoder:
         # Letters of the Latin blocks are letters in every version of Unicode.
         if core.isalpha() and (core.isascii() or max(core) < "\u0250"):
             letters = core if core.isascii() else core.encode().decode("latin-1").translate(_LETTERS)
-            before, lead = (self._core(_FEED), "") if plain is not word else (b"", _SPACE)
+            before, lead = (self._mark(_FEED), "") if plain is not word else (b"", _SPACE)
             tail = plain[len(core):]
-            return before + self._core(lead + letters) + (self._core(tail) if tail else b"")
+            known = self.words.get(core) if tail and lead else None
+            return before + (known or self._core(lead + letters)) + (self._mark(tail) if tail else b"")
         return self.whole(word if plain is not word else " " + word)
 
+    def _known(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, each after a space or line feed."""
+        own = list(map(self.words.get, words))
+        missing = [k for k, ids in enumerate(own) if ids is None]
+        if len(self.words) + len(missing) > REMEMBERED:
+            self.older, self.words = self.words, {w: ids for w, ids in zip(words, own) if ids is not None}
+        for k in missing:
+            own[k] = self.older.get(words[k])
+        for k in sorted((k for k in missing if own[k] is None), key=lambda k: words[k]):
+            own[k] = self._word(words[k])
+        self.words.update((words[k], own[k]) for k in missing)
+        return own
+
+    def batch(self, texts: pa.Array) -> list[bytes]:
+        """Ids of every text of a slice; none for a null text."""
+        texts = texts.fill_null("")
+        if not self.fast:
+            return [self.whole(t) for t in texts.to_pylist()]
+        odd = pc.match_substring_regex(texts, _ODD)
+        split = pc.split_pattern(pc.replace_substring(texts.filter(pc.invert(odd)), "\n", " \n"), " ")
+        coded = split.flatten().dictionary_encode()
+        own = self._known(coded.dictionary.to_pylist())
+        flat = np.frombuffer(b"".join(own), "<u4")
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        code = coded.indices.to_numpy()
+        lengths = split.value_lengths().to_numpy()
+        first = np.cumsum(lengths) - lengths
+        counts = sizes[code]
+        counts[first] = 0  # a text's first word follows nothing
+        after = np.cumsum(counts)
+        shift = (np.cumsum(sizes) - sizes)[code] - (after - counts)
+        found = flat[np.repeat(shift, counts) + np.arange(int(after[-1]) if len(after) else 0)].tobytes()
+        ends = (4 * np.r_[0, after][np.cumsum(lengths)]).tolist()
+        opening = iter(pc.list_element(split, 0).to_pylist())
+        pieces = iter([found[a:b] for a, b in zip([0, *ends], ends)])
+        return [
+            self.whole(text) if whole else self.whole(next(opening)) + next(pieces)
+            for text, whole in zip(texts.to_pylist(), odd.to_pylist())
+        ]
+
     def ids(self, text: str) -> bytes:
-        # Equal if all white space is single spaces and line feeds between words.
-        if "<|" in text or text.replace("\n", " ").split(" ") != text.split():
-            return self.whole(text)
-        if len(self.words) + len(self.cores) > REMEMBERED:
-            self.words.clear()
-            self.cores.clear()
-        words = self.words
-        first, *rest = text.replace("\n", " \n").split(" ")
-        try:
-            found = b"".join(map(words.__getitem__, rest))
-        except KeyError:
-            for word in rest:
-                if word not in words:
-                    words[word] = self._word(word)
-            found = b"".join(map(words.__getitem__, rest))
-        return self.whole(first) + found
+        return self.batch(pa.array([text], pa.string()))[0]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -146,7 +206,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(tokenizer)
         for batch in batches:
-            made = [_end(encoder.ids(t))[: 4 * SAMPLE_IDS] for t in batch.column("text").to_pylist()]
+            made = [_end(ids)[: 4 * SAMPLE_IDS] for ids in encoder.batch(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["ids"])
 
     samples = sorted(bytes(r[0]) for r in bounded(chosen).mapInArrow(encode, "ids binary").collect())
@@ -165,13 +225,13 @@ def _decompressor(dictionary: bytes) -> zstandard.ZstdDecompressor:
 
 
 def _writer(folder: str, tokenizer: str, dictionary: bytes, file_bytes: int):
-    def one_file(rows, encoder, compressor, rank: int):
+    def one_file(rows, compressor, rank: int):
         ends, sizes = [], []
         with new_file(folder, ".tok") as (name, out):
             out.write(struct.pack(_HEADER, MAGIC, len(dictionary), hashlib.sha256(dictionary).digest()))
             at = struct.calcsize(_HEADER)
-            for part, text in rows:
-                ids = _end(encoder.ids(text or ""))
+            for part, ids in rows:
+                ids = _end(ids)
                 frame = compressor.compress(ids)
                 out.write(frame)
                 at += len(frame)
@@ -188,14 +248,14 @@ def _writer(folder: str, tokenizer: str, dictionary: bytes, file_bytes: int):
 
         def rows():
             for batch in batches:
-                for part in slices(batch, "text"):
-                    yield from zip(part.column("piece").to_pylist(), part.column("text").to_pylist())
+                for part in slices(batch, "text", SLICE_BYTES):
+                    yield from zip(part.column("piece").to_pylist(), encoder.batch(part.column("text")))
 
         stream = rows()
         rank = 0
         for first in stream:
             # A chain, unlike a generator that delegates, leaves the stream open when a file ends before it.
-            row = one_file(chain([first], stream), encoder, compressor, rank)
+            row = one_file(chain([first], stream), compressor, rank)
             rank += 1
             yield pa.RecordBatch.from_pylist([row])
 

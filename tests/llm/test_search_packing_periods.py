@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from citelight.llm import packing, periods, queries, search
+from citelight.llm import packing, periods, queries, search, token_files
 
 FOLDER = "/root/testdata/sf0.001"
 WORD_FILE = public_tokenizers.path("word_bpe_49k.json")
@@ -321,3 +321,33 @@ def test_ties_keep_the_smaller_rows():
     for first, scores in ((0, [5, 0, 7, 5]), (4, [5, 7, 1, 5]), (8, [9, 7])):
         best.offer(np.array([scores]), first)
     assert best.score.tolist() == [[9, 7, 7]] and best.row.tolist() == [[8, 2, 5]]
+
+
+def test_token_file_encoder_against_the_library(monkeypatch):
+    """Random texts, with a memory so small that words are forgotten on the way; other tokenizers get whole texts."""
+    monkeypatch.setattr(token_files, "REMEMBERED", 200)
+    rng = random.Random(4)
+    letters = list("aAbB'sé1.,!<|> \t\n\r\x0b\x1c\x85\xa0中🎉\x00") + ["<|endoftext|>", "word", "Word.", " ", "\n"]
+    plain = ["ab", "éa", "x.", "it's", "a1", "\nb", "!?", "Hello", "often"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    texts += [" ".join(rng.choice(plain) + rng.choice(["", "", str(rng.randrange(900))]) for _ in range(rng.randint(0, 20))) for _ in range(3000)]
+    for name, fast in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        path = public_tokenizers.path(name)
+        encoder, tokenizer = token_files.Encoder(path), Tokenizer.from_file(path)
+        assert encoder.fast is fast
+        for at in range(0, len(texts), 250):
+            part = texts[at: at + 250]
+            want = [array("I", whole_ids(tokenizer, t)[:-1]).tobytes() for t in part]
+            assert encoder.batch(pa.array(["x", *part, None])[1:]) == [*want, b""]
+        assert len(encoder.words) <= 1500
+
+
+def test_a_lower_casing_tokenizer_is_not_taken_for_plain(tmp_path):
+    import json
+
+    with open(public_tokenizers.path("byte_bpe_50k.json")) as stream:
+        form = json.load(stream)
+    form["normalizer"] = {"type": "Lowercase"}
+    (tmp_path / "t.json").write_text(json.dumps(form))
+    encoder = token_files.Encoder(str(tmp_path / "t.json"))
+    assert encoder.ids("Hello Big World") == array("I", encoder.tokenizer.encode("hello big world").ids).tobytes()

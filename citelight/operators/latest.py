@@ -18,6 +18,11 @@ def _orderable(kind: DataType) -> bool:
     return True
 
 
+def hashable(df: DataFrame) -> list[Column]:
+    """The columns whose content a hash can be made of."""
+    return [F.col(f"`{f.name}`") for f in df.schema.fields if _orderable(f.dataType)]
+
+
 def latest_per_key(
     df: DataFrame,
     keys: Sequence[Column | str],

@@ -59,15 +59,23 @@ def normalise_names(
     return joined.withColumn(out, F.coalesce("_canonical", name)).drop("_variant", "_canonical")
 
 
-def brand_ids(df: DataFrame, name: str, brands: DataFrame, key: Column | None = None) -> DataFrame:
+#: Names that differ in case, accents, combining marks or ligatures (``ß`` and ``ss``) alone are equal under it.
+LENIENT = "UNICODE_CI_AI"
+
+
+def brand_ids(
+    df: DataFrame, name: str, brands: DataFrame, key: Column | None = None, collation: str | None = None
+) -> DataFrame:
     """Add ``brand_id`` looked up by (normalised) name; NULL for brands not monitored.
 
     ``brands`` has ``brand_id`` and ``name``. Should two brands share a name, the
     smallest id is taken, so no row is multiplied. The names are written first, as in
-    :func:`normalise_names`.
+    :func:`normalise_names`. Under a ``collation`` (such as :data:`LENIENT`) names match in any script and any
+    spelling that it holds equal, composed or not; the names themselves stay as they are.
     """
-    side = staged(
-        brands.groupBy(F.col("name").alias("_name")).agg(F.min("brand_id").alias("brand_id")), "brand-names"
-    )
-    match = (F.col(name) if key is None else key) == F.col("_name")
+    alike = (lambda c: c) if collation is None else (lambda c: F.collate(c, collation))
+    # Collated names are grouped but stored plain: one spelling of each stands for all.
+    single = brands.groupBy(alike(F.col("name")).alias("_name")).agg(F.min("brand_id").alias("brand_id"))
+    side = staged(single.withColumn("_name", F.col("_name").cast("string")), "brand-names")
+    match = alike(F.col(name) if key is None else key) == alike(F.col("_name"))
     return df.drop("brand_id").join(side, match, "left").drop("_name")

@@ -17,7 +17,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
-from ..operators.latest import last_in_batch, latest_per_key
+from ..operators.latest import hashable, last_in_batch, latest_per_key
 from ..operators.share import join_null_safe
 from ..session import staged
 from . import commits
@@ -197,10 +197,13 @@ def upsert(
         single = single.drop(sequence)
     incoming = set(single.columns)
     old = target.withColumn("_scope", F.lit(True) if scope is None else F.coalesce(scope, F.lit(False)))
-    old = old.select(F.struct(*[F.col(c) for c in old.columns]).alias("_old"), F.col(key).alias("_old_key"))
     new = single.withColumn("loaded_at", run_time)
-    new = new.select(F.struct(*[F.col(c) for c in new.columns]).alias("_new"), F.col(key).alias("_new_key"))
-    merged = old.join(new, F.col("_old_key") == F.col("_new_key"), "full_outer")
+    # NULL keys match nothing, but would all be shuffled to one task: a second key from their content spreads them.
+    salt = F.when(F.col(key).isNotNull(), F.lit(0))
+    salt_of = lambda df: salt.otherwise(F.pmod(F.xxhash64(*hashable(df)), F.lit(4096)))
+    old = old.select(F.struct(*[F.col(c) for c in old.columns]).alias("_old"), F.col(key).alias("_old_key"), salt_of(old).alias("_old_salt"))
+    new = new.select(F.struct(*[F.col(c) for c in new.columns]).alias("_new"), F.col(key).alias("_new_key"), salt_of(new).alias("_new_salt"))
+    merged = old.join(new, (F.col("_old_key") == F.col("_new_key")) & (F.col("_old_salt") == F.col("_new_salt")), "full_outer")
     arrived = F.col("_new").isNotNull()
     gone = ~arrived & F.col("_old._scope")
 

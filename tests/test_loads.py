@@ -36,6 +36,24 @@ def test_upsert(spark):
     assert merged.columns == target(spark).columns
 
 
+def test_rows_without_key_are_spread(spark):
+    """Each stays a row of its own, and no task gets them all."""
+    old = spark.range(4000).selectExpr(
+        "IF(id % 2 = 0, NULL, CAST(id AS STRING)) AS k", "CAST(id AS STRING) AS v", "'b1' AS owner", "true AS is_active",
+        "TIMESTAMP '2026-04-01' AS loaded_at")
+    batch = old.where("k IS NOT NULL").drop("loaded_at")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        merged = tables.upsert(old, batch, "k", tables.run_stamp(RUN))
+        per_task = [r["count"] for r in merged.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(per_task) == 2000 and len(per_task) == 4 and max(per_task) < 700
+    assert merged.where("k IS NULL AND NOT is_active").count() == 2000 and merged.count() == 4000
+
+
 def test_upsert_without_scope_deactivates_everywhere(spark):
     merged = tables.upsert(target(spark), source(spark), "k", tables.run_stamp(RUN), sequence="seq")
     assert {r.k for r in merged.where("not is_active").collect()} == {"gone", "gone_elsewhere", None}

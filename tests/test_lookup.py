@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from citelight.functions import ascii_key
-from citelight.operators.lookup import BRAND_SPELLINGS, brand_ids, canonical_name, normalise_names, with_dimension
+from citelight.operators.lookup import BRAND_SPELLINGS, LENIENT, brand_ids, canonical_name, normalise_names, with_dimension
 
 
 def test_names_and_ids(spark):
@@ -22,6 +22,22 @@ def test_names_and_ids(spark):
     assert got["Ceska sporitelna"] == "b3" and got["KB"] == "b1" and got["Nobody"] is None
 
 
+def test_names_alike_under_a_collation(spark):
+    pairs = [
+        ("Česká spořitelna", "CESKA SPORITELNA"), ("Česká spořitelna", "Ceska\u0301 sporitelna"), ("Straße", "STRASSE"),
+        ("Καφές", "καφες"), ("Ёлка", "елка"), ("Société", "Socie\u0301te\u0301"), ("北京", "北京"),
+    ]
+    brands = spark.createDataFrame(
+        [(f"b{i}", name) for i, name in enumerate(dict.fromkeys(n for n, _ in pairs))] + [("a9", "SOCIETE")],
+        "brand_id string, name string")
+    ids = {n: f"b{i}" for i, n in enumerate(dict.fromkeys(n for n, _ in pairs))} | {"Société": "a9"}
+    seen = spark.createDataFrame([(s,) for _, s in pairs] + [("Ceska",), ("北",), ("",), (None,)], "brand_name string")
+    got = {r.brand_name: r.brand_id for r in brand_ids(seen, "brand_name", brands, collation=LENIENT).collect()}
+    assert got == {s: ids[n] for n, s in pairs} | {"Ceska": None, "北": None, "": None, None: None}
+    strict = {r.brand_name: r.brand_id for r in brand_ids(seen, "brand_name", brands).collect()}
+    assert [s for s, b in strict.items() if b] == ["北京"]
+
+
 def test_dimension_join_keeps_every_fact(spark):
     facts = spark.createDataFrame([("t1", 1), ("t2", 2), (None, 3)], "term string, v int")
     dim = spark.createDataFrame([("t1", "one"), (None, "never")], "term string, label string")

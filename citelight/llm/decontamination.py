@@ -12,7 +12,7 @@ window is ``width`` consecutive words of an item; an item of fewer words, but no
 window. Rows: null and empty texts have no words and no hits. Rows that repeat ids are judged
 one by one; items that share an item_id count once, and an item without id counts but is not
 named. An empty benchmark or table leaves every document clean. Input columns named like an
-output column are replaced; all others are carried along.
+output column (in any case) are replaced; all others are carried along whatever their names.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .tokens import PLAIN_WORDS, bounded, slices, token_hashes
+from .tokens import PLAIN_WORDS, folded, in_workers, slices, token_hashes, unfolded
 
 #: Words of one suffix array; three ranks of it fit into 63 bits.
 SHARD_WORDS = 1 << 20
@@ -224,21 +224,20 @@ def scan(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_bytes: in
     """``docs`` with, per row: n_words, n_hit (words inside a window), n_items and items (ids with a window there),
     longest_match (words) and spans (first and last word, exclusive, of every hit stretch, one after the other).
     """
-    out = docs.drop(*OUTPUT)
     none = {
         "n_words": F.lit(0).cast("long"), "n_hit": F.lit(0).cast("long"), "n_items": F.lit(0).cast("long"),
         "items": F.array().cast("array<string>"), "longest_match": F.lit(0).cast("long"), "spans": F.array().cast("array<long>"),
     }
-    kept = [F.col(f"`{c}`") for c in out.columns if c != "text"]
-    out = out.select(F.col("text").cast("string").alias("text"), *kept, *[c.alias(n) for n, c in none.items()])
+    names = [c for c in docs.columns if c.lower() not in (*OUTPUT, "text")]
+    out = docs.select(F.col("text").cast("string").alias("text"), folded(names), *[c.alias(n) for n, c in none.items()])
     texts = benchmark.select(F.col("item_id").cast("string").alias("id"), F.col("text").cast("string").alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = 1 + total // block_bytes
     for block in range(blocks):
         own = texts.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).orderBy("text", "id").toArrow()
         items = read_items(own.column("text").to_pylist(), own.column("id").to_pylist(), width)
-        out = bounded(out).mapInArrow(_scanner(items), out.schema)
-    return out
+        out = in_workers(out, _scanner(items), out.schema)
+    return unfolded(out, ["text", *names], *OUTPUT)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:

@@ -8,7 +8,8 @@ linear SVM for each pair of languages votes. All are trained by Spark on at most
 Rows: a null text, or one without any letter, gets ``und`` with score 0. Rows without a
 label are not learned from. With no language learned every row gets ``und``; with a single one
 every text with a letter gets that one. Rows that repeat are predicted one by one.
-Input columns named like an output column are replaced, all others are carried along.
+Input columns named like an output column are replaced, all others are carried along whatever their names. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import staged
-from .tokens import LOWER, bounded, bytes_of, mix, slices
+from .tokens import LOWER, bytes_of, folded, in_workers, mix, slices, unfolded
 
 ROWS_PER_LANGUAGE = 1000
 DIMENSIONS = 4096
@@ -125,7 +126,7 @@ def _separate(rows: DataFrame, positive) -> np.ndarray:
 
 def train(labelled: DataFrame, rows: int = ROWS_PER_LANGUAGE) -> Model:
     """Learn from ``labelled`` (text, lang)."""
-    vectors = staged(bounded(sample(labelled, rows).repartition(F.xxhash64("text"))).mapInArrow(_vectors, "lang string, shares array<double>"), "shares")
+    vectors = staged(in_workers(sample(labelled, rows).repartition(F.xxhash64("text")), _vectors, "lang string, shares array<double>"), "shares")
     languages = sorted(r[0] for r in vectors.select("lang").distinct().collect())
     families = sorted({family_of(x) for x in languages})
     shaped = vectors.select("lang", array_to_vector("shares").alias("features")).cache()
@@ -178,7 +179,7 @@ def _predictor(model: Model):
                 best = rank.argmax(axis=1) if len(model.languages) else np.zeros(n, np.int64)
                 if len(model.languages):
                     score = score * worst[np.arange(n), best]
-                lettered = part.column("_lettered").to_numpy(zero_copy_only=False).astype(bool)
+                lettered = part.column("lettered").to_numpy(zero_copy_only=False).astype(bool)
                 some = lettered & (len(model.languages) > 0)
                 made = {
                     "lang_pred": pa.array(np.where(some, names[best], UNKNOWN), pa.string()),
@@ -192,10 +193,10 @@ def _predictor(model: Model):
 
 def predict(model: Model, docs: DataFrame) -> DataFrame:
     """``docs`` (text, ...) with ``lang_pred`` and ``score`` (0 to 1); only the text is looked at."""
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "lang_pred", "score", "_lettered")]
+    names = [c for c in docs.columns if c.lower() not in ("text", "lang_pred", "score")]
     text = F.col("text").cast("string")
     rows = docs.select(
-        text.alias("text"), *rest, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"),
-        F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("_lettered"),
+        text.alias("text"), folded(names), F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"),
+        F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("lettered"),
     )
-    return bounded(rows).mapInArrow(_predictor(model), rows.schema).drop("_lettered")
+    return unfolded(in_workers(rows, _predictor(model), rows.schema), ["text", *names], "lang_pred", "score")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import staged
 from .graph import components, link_through
-from .tokens import _powers, bounded, mix, slices
+from .tokens import _powers, bounded, mix, quoted, slices, unused
 
 EDITS = 2
 LEAST = 32
@@ -275,12 +275,13 @@ def report(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame
 
 
 def apply(docs: DataFrame, removals: DataFrame) -> DataFrame:
-    """``docs`` without the lines named in ``removals`` (from :func:`duplicate_lines`); all columns kept."""
-    found = removals.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "removed")
-    text = F.col("text").cast("string")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.xxhash64(text).eqNullSafe(F.col("_hash"))
-    kept = F.array_join(F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains("removed", i)), "\n")
-    rows = docs.drop("_id", "_hash", "removed").join(found, same, "left")
-    return rows.withColumn("text", F.when(F.col("removed").isNull(), text).otherwise(kept)).select(
-        *[f"`{c}`" for c in docs.columns if c not in ("_id", "_hash", "removed")]
+    """``docs`` without the lines named in ``removals`` (from :func:`duplicate_lines`); all columns kept, whatever their names."""
+    row_id, row_hash, numbers = (unused(docs.columns, c) for c in ("_id", "_hash", "removed"))
+    found = removals.select(
+        F.col("doc_id").alias(row_id), F.col("text_hash").alias(row_hash), F.col("removed").alias(numbers)
     )
+    text = F.col("text").cast("string")
+    same = F.col("doc_id").eqNullSafe(F.col(row_id)) & F.xxhash64(text).eqNullSafe(F.col(row_hash))
+    kept = F.array_join(F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains(numbers, i)), "\n")
+    whole = F.when(F.col(numbers).isNull(), text).otherwise(kept).alias("text")
+    return docs.join(found, same, "left").select(*[whole if c == "text" else F.col(quoted(c)) for c in docs.columns])

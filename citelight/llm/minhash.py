@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import staged
 from .graph import components, link_through
-from .tokens import SPACED_WORDS, bounded, distinct_per_row, mix, seeds, shingle_hashes, slices, token_hashes
+from .tokens import SPACED_WORDS, distinct_per_row, in_workers, mix, seeds, shingle_hashes, slices, token_hashes
 
 #: Words of 64 bits in the parity sketch of a set.
 SKETCH = [f"sketch_{k}" for k in range(8)]
@@ -100,8 +100,8 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     """Per row: ``doc_id``, size and name of its shingle set, and the collections' values."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = F.col("text").cast("string")
-    return bounded(docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_hash"))).mapInArrow(
-        _signer(width),
+    return in_workers(
+        docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_hash")), _signer(width),
         f"doc_id {kind}, text_hash long, n_shingles long, set_a long, set_b long, collections array<long>",
     )
 
@@ -153,7 +153,7 @@ def _rare_first(width: int, percent: int):
                 )
 
     def refine(held: DataFrame) -> DataFrame:
-        rows = staged(bounded(held.select("node", "text")).mapInArrow(shingles, "node long, n long, key long"), "shingles")
+        rows = staged(in_workers(held.select("node", "text"), shingles, "node long, n long, key long"), "shingles")
         often = rows.groupBy("key").agg(F.count("*").alias("holders"))
         ranked = rows.join(often, "key").groupBy("node").agg(
             F.max("n").alias("size"), F.count_if(F.col("holders") > 1).alias("shared"),
@@ -179,7 +179,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     """
     signed = staged(signatures(docs, width), "signatures")
     sets = signed.where("n_shingles > 0").groupBy("set_a", "set_b").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"),
+        F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "text_hash")).alias("holder"),
+        F.first("n_shingles").alias("n_shingles"),
         F.first("collections").alias("collections"),
     )
     nodes = staged(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
@@ -209,11 +210,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 
 def _texts_of(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """``node``, ``n_shingles``, ``text``: of every set one text that has it (rows may share an id, so sets are compared)."""
-    rows = docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("text"))
-    paired = rows.join(nodes, F.col("_id").eqNullSafe(F.col("doc_id"))).select(
-        "node", "n_shingles", "set_a", "set_b", "text"
-    )
+    """``node``, ``n_shingles``, ``text``: of every set one text that has it.
+
+    A set names one row that has it by id and text, as any number of rows may share an id or lack one.
+    """
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").alias("_id"), F.xxhash64(text).alias("_hash"), text.alias("text"))
+    same = F.col("_id").eqNullSafe(F.col("holder.doc_id")) & (F.col("_hash") == F.col("holder.text_hash"))
+    paired = rows.join(nodes, same).select("node", "n_shingles", "set_a", "set_b", "text")
 
     def same_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,7 +231,7 @@ def _texts_of(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
                 yield made.filter(pa.array(right))
 
     schema = "node long, n_shingles long, text string, " + ", ".join(f"{word} long" for word in SKETCH)
-    found = bounded(paired).mapInArrow(same_set, schema)
+    found = in_workers(paired, same_set, schema)
     return found.dropDuplicates(["node"])
 
 
@@ -242,6 +246,6 @@ def _verifier(width: int, percent: int):
         both = sized.join(held.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
             held.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
         )
-        return bounded(both).mapInArrow(_comparer(width, percent), "a long, b long")
+        return in_workers(both, _comparer(width, percent), "a long, b long")
 
     return verify

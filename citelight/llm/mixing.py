@@ -9,7 +9,7 @@ the documents themselves are never sorted or shuffled: each compares its key wit
 Rows: a null or empty text has size 0. Documents without source form one source, ordered
 last. Rows that repeat id and text share a key; where the budget ends among them, each
 takes an equal share of what is left. Sources without words have target 0. Input columns
-named like an output column are replaced; all others are carried along. An empty table
+named like an output column (in any case) are replaced; all others are carried along whatever their names. An empty table
 gives an empty mix.
 """
 
@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..operators.share import join_null_safe
 from ..session import staged
 from .prefix import running_totals
+from .tokens import folded, quoted, unused
 
 RANGE_ROWS = 1_000
 WORD = r"[^\x20\x09-\x0D]+"
@@ -113,14 +114,15 @@ def mix(
     often the whole document is taken; the one at the cut is whole if at least half of it is in.
     """
     plan = cuts(docs, weights, share, most, seed)
-    keyed = docs.drop(*PLAN_COLUMNS).withColumn("_size", size()).withColumn("_key", random_key(seed))
+    names = [c for c in docs.columns if c.lower() not in PLAN_COLUMNS]
+    keyed = docs.select("source", folded(names), size().alias("_size"), random_key(seed).alias("_key"))
     rows = join_null_safe(keyed, plan, ["source"], "inner")
     under = F.coalesce(F.col("_key") < F.col("cut_key"), F.lit(False))
     at = F.coalesce(F.col("_key") == F.col("cut_key"), F.lit(False))
     part = F.when(under, F.col("_size")).when(at, F.least("_size", "cut_words")).otherwise(F.lit(0))
     whole = under | (at & (F.col("cut_words") * 2 >= F.col("_size")))
     return rows.select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in PLAN_COLUMNS], F.col("_size").alias("size"), "source_size",
+        *[F.col("row")[c].alias(c) for c in names], F.col("_size").alias("size"), "source_size",
         "target", (F.col("epochs") * F.col("_size") + part).cast("long").alias("taken"),
         (F.col("epochs") + whole.cast("long")).alias("repeats"),
     )
@@ -129,4 +131,6 @@ def mix(
 def materialise(mixed: DataFrame) -> DataFrame:
     """The mix itself: every document as many times as it is taken whole."""
     times = F.array_repeat(F.lit(1), F.col("repeats").cast("int"))
-    return mixed.withColumn("_time", F.explode(times)).drop("_time", *PLAN_COLUMNS)
+    names = [c for c in mixed.columns if c not in PLAN_COLUMNS]
+    time = unused(names, "_time")
+    return mixed.select(*[F.col(quoted(c)) for c in names], F.explode(times).alias(time)).drop(time)

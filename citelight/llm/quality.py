@@ -9,7 +9,7 @@ counts over range partitions.
 
 Rows: a null or empty text has no n-grams and weight 0. Rows that repeat have the same sum and are
 ranked next to each other, rows without id last. With an empty target all ratios are those of smoothing.
-Input columns named like an output column are replaced, all others are carried along. An empty table gives an empty result.
+Input columns named like an output column (in any case) are replaced, all others are carried along whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import staged
 from .prefix import running_totals
-from .tokens import WORDS_AND_MARKS, bounded, mix, seeds, slices, token_hashes
+from .tokens import WORDS_AND_MARKS, bounded, folded, mix, seeds, slices, token_hashes, unfolded
 
 SLOTS = 1 << 18
 #: Labelled documents that the target model is learned from at most; their ids fit into any task.
@@ -94,22 +94,30 @@ def _scorer(ratios: np.ndarray):
     return score
 
 
-def scores(docs: DataFrame, target: DataFrame, seed: int = 0) -> DataFrame:
-    """``docs`` without the text, with n_grams, log_weight and sample_key (log weight plus Gumbel noise)."""
+def _carried(docs: DataFrame) -> list[str]:
+    return [c for c in docs.columns if c.lower() not in ("text", *OUTPUT)]
+
+
+def _scored(docs: DataFrame, target: DataFrame, seed: int) -> DataFrame:
+    """``row`` (all columns but the text), n_grams, log_weight and sample_key (log weight plus Gumbel noise)."""
     ratios = log_ratios(gram_counts(target), gram_counts(docs))
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "_chance", *OUTPUT)]
     text = F.col("text").cast("string")
     rows = docs.select(
-        text.alias("text"), F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), text).alias("_chance"), *rest,
-        F.lit(0).cast("long").alias("n_grams"), F.lit(0.0).alias("log_weight"), F.lit(0.0).alias("sample_key"),
+        text.alias("text"), F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), text).alias("_chance"),
+        folded(_carried(docs)), F.lit(0).cast("long").alias("n_grams"), F.lit(0.0).alias("log_weight"), F.lit(0.0).alias("sample_key"),
     )
     return bounded(rows).mapInArrow(_scorer(ratios), rows.drop("text", "_chance").schema)
 
 
+def scores(docs: DataFrame, target: DataFrame, seed: int = 0) -> DataFrame:
+    """``docs`` without the text, with n_grams, log_weight and sample_key (log weight plus Gumbel noise)."""
+    return unfolded(_scored(docs, target, seed), _carried(docs), *OUTPUT[:-1])
+
+
 def resample(docs: DataFrame, target: DataFrame, share: float, seed: int = 0) -> DataFrame:
     """:func:`scores` with ``kept``: whether the row is among the ``share`` of all rows with the largest keys."""
-    scored = staged(scores(docs, target, seed), "scores")
+    scored = staged(_scored(docs, target, seed), "scores")
     wanted = round(share * scored.count())
-    order = [F.col("sample_key").desc(), F.col("doc_id").asc_nulls_last()]
+    order = [F.col("sample_key").desc(), F.col("row")["doc_id"].asc_nulls_last()]
     ranked = running_totals(scored, order, {"_before": F.lit(1)})
-    return ranked.withColumn("kept", F.col("_before") < wanted).drop("_before")
+    return unfolded(ranked.withColumn("kept", F.col("_before") < wanted), _carried(docs), *OUTPUT)

@@ -13,7 +13,7 @@ Words are runs of anything but ASCII white space, A-Z read as a-z. In scripts wi
 character is cut off like a word and counts as a third of one; a passage of 70 such characters has a whole span. Rows: null and empty texts, and texts
 shorter than one span, are never changed. Rows that repeat id and text are one document; rows that repeat the id
 alone are told apart by text; documents without id come last. Input columns named like an output
-column are replaced, all others are carried along. An empty table gives an empty result.
+column (in any case) are replaced, all others are carried along whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import staged
-from .tokens import SPACED_WORDS, _powers, bounded, bytes_of, mix, slices, token_hashes, unspaced
+from .tokens import SPACED_WORDS, _powers, bounded, bytes_of, folded, mix, slices, token_hashes, unfolded, unspaced
 
 LONG = 12
 WINDOW = 8
@@ -173,16 +173,17 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def drop_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with n_pieces, n_removed, removed (first and end piece of each removed stretch, one after the other),
     first_docs (documents that have the removed spans first) and kept_text."""
-    found = repeated_spans(docs).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "covered", F.col("first_docs").alias("_firsts")
-    )
-    names = [c for c in docs.columns if c not in (*OUTPUT, "covered", "_id", "_hash", "_firsts")]
+    names = [c for c in docs.columns if c.lower() not in OUTPUT]
+    found = repeated_spans(docs).withColumnRenamed("first_docs", "firsts")
     text = F.col("text").cast("string")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.xxhash64(text).eqNullSafe(F.col("_hash"))
-    rows = docs.select(*[F.col(f"`{c}`") for c in names]).join(found, same, "left").select(
-        *[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in names],
+    own = docs.select(
+        folded([c for c in names if c != "text"]), text.alias("text"), F.col("doc_id").alias("_id"), F.xxhash64(text).alias("_hash")
+    )
+    same = F.col("_id").eqNullSafe(F.col("doc_id")) & F.col("_hash").eqNullSafe(F.col("text_hash"))
+    rows = own.join(found, same, "left").select(
+        "row", "text",
         F.lit(0).cast("long").alias("n_pieces"), F.lit(0).cast("long").alias("n_removed"),
         F.array().cast("array<long>").alias("removed"),
-        F.coalesce("_firsts", F.array()).alias("first_docs"), F.lit(None).cast("string").alias("kept_text"), "covered",
+        F.coalesce("firsts", F.array()).alias("first_docs"), F.lit(None).cast("string").alias("kept_text"), "covered",
     )
-    return bounded(rows).mapInArrow(_cut, rows.drop("covered").schema)
+    return unfolded(bounded(rows).mapInArrow(_cut, rows.drop("covered").schema), names, *OUTPUT)

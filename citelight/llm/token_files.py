@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import scratch_path, staged
 from .files import new_file, open_at
-from .tokens import bounded, slices
+from .tokens import in_workers, keep, slices
 
 MAGIC = b"TOKFILE1"
 END_ID = 0
@@ -182,14 +182,9 @@ class Encoder:
         return self.batch(pa.array([text], pa.string()))[0]
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder_of(path: str) -> Encoder:
     """The encoder of this process, which remembers words from one task to the next."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return keep(f"token_files {path}", lambda: Encoder(path))
 
 
 def _end(ids: bytes) -> bytes:
@@ -209,7 +204,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
             made = [_end(ids)[: 4 * SAMPLE_IDS] for ids in encoder.batch(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["ids"])
 
-    samples = sorted(bytes(r[0]) for r in bounded(chosen).mapInArrow(encode, "ids binary").collect())
+    samples = sorted(bytes(r[0]) for r in in_workers(chosen, encode, "ids binary", f"token_files {tokenizer}").collect())
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:  # too few or too short samples to learn from
@@ -309,8 +304,9 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, file_bytes
                 )
             at += row["docs"]
 
-    listed = staged(bounded(rows).mapInArrow(
-        both, f"doc_id {kind}, piece long, rank long, name string, position long, docs long, ids long"
+    listed = staged(in_workers(
+        rows, both, f"doc_id {kind}, piece long, rank long, name string, position long, docs long, ids long",
+        f"token_files {tokenizer}",
     ), "listed")
     return folder, dictionary, listed
 

@@ -8,11 +8,13 @@ a single row.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 SLICE_BYTES = 1 << 20
 #: Bytes of rows that Spark hands to a worker at a time.
@@ -75,6 +77,75 @@ def bounded(rows: DataFrame) -> DataFrame:
     return rows
 
 
+#: What this process keeps from one task to the next, by owner.
+_KEPT: dict[str, object] = {}
+
+
+def keep(owner: str, make: Callable[[], object]):
+    """What ``make`` returns, made once per process and kept for later tasks of the same owner (see :func:`in_workers`)."""
+    if owner not in _KEPT:
+        _KEPT[owner] = make()
+    return _KEPT[owner]
+
+
+def let_go(owner: str = "") -> None:
+    """Forget what other owners keep in this process."""
+    for name in [name for name in _KEPT if name != owner]:
+        del _KEPT[name]
+
+
+def give_back() -> None:
+    """Return memory that this process no longer uses, so that a worker that waits for its next task is small."""
+    if _POWERS and len(_POWERS[0]) > SLICE_BYTES + (1 << 16):
+        _POWERS.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it, other C libraries need not
+    if trim is not None:
+        trim(0)
+
+
+def in_workers(rows: DataFrame, function: Callable, schema, owner: str = "") -> DataFrame:
+    """``mapInArrow`` over :func:`bounded` rows, in workers that hold nothing of other operators.
+
+    Spark uses a worker process again, also for other queries, and keeps it for a while if it has nothing to do. What another
+    operator left there is forgotten before the task, and freed memory goes back to the machine after it.
+    """
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(owner)
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return bounded(rows).mapInArrow(tidy, schema)
+
+
+def unused(names, wanted: str) -> str:
+    """``wanted``, with as many underscores behind it as make it differ from all ``names`` in any case."""
+    taken = {name.lower() for name in names}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
+def quoted(name: str) -> str:
+    """A column name as Spark reads it whole, also with points or backticks in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def folded(names: Sequence[str]) -> Column:
+    """The columns ``names`` as one value ``row``: whatever they are called, no name of theirs meets another."""
+    filler = F.lit(None).cast("int").alias(unused(names, "_"))
+    return F.struct(filler, *[F.col(quoted(c)) for c in names]).alias("row")
+
+
+def unfolded(rows: DataFrame, names: Sequence[str], *more: str) -> DataFrame:
+    """The columns ``names``, ``text`` as ``rows`` has it and the others from ``row``; then ``more``."""
+    own = [F.col(c) if c == "text" else F.col("row")[c].alias(c) for c in names]
+    return rows.select(*own, *more)
+
+
 def slices(
     batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES, rows: int = 1 << 20
 ) -> Iterator[pa.RecordBatch]:

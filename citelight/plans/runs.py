@@ -145,7 +145,7 @@ def load_raw(
         for endpoint, schema, parameters, flattened, table in (
             ("brands", schemas.BRANDS, (), flatten.brands, "raw_brands"),
             ("search_terms", schemas.SEARCH_TERMS, ("brand_id",), flatten.search_terms, "raw_search_terms"),
-            ("citations", schemas.CITATIONS, ("brand_id",), flatten.citations, "raw_citations"),
+            ("citations", schemas.CITED_URLS, ("brand_id",), flatten.citations, "raw_citations"),
         ):
             payloads = run.payloads(endpoint, schema, parameters)
             if payloads is not None:
@@ -188,7 +188,7 @@ def load_report(
             payloads = run.payloads(endpoint, schema, parameters)
             if payloads is not None:
                 run.append(flattened(payloads), table)
-        reports = run.payloads("report", schemas.REPORT, ("brand_id", "topic_id"))
+        reports = run.payloads("report", schemas.TIMELINES, ("brand_id", "topic_id"))
         if reports is not None:
             held = [*ledger.committed(), load.id]
             names = _latest_lists(ledger, warehouse.path("report_brands"), "brand_id string, name string", held, load.time)
@@ -272,7 +272,7 @@ def _load_run_by_date(spark: SparkSession, warehouse: Warehouse, run: _Extract,
             spark, flatten.answer_texts(reports).drop("brand_id"), warehouse.path("answer_texts"),
             targets["answer_texts"], "execution_id", time,
         )
-    cited = run.payloads("citations", schemas.CITATIONS)
+    cited = run.payloads("citations", schemas.CITED_URLS)
     if cited is not None:
         tables.overwrite_days(
             spark, flatten.dated_citations(cited, run_day), warehouse.path("citations"), targets["citations"], time,

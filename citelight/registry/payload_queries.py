@@ -140,7 +140,7 @@ def flatten_topics(t: Tables) -> DataFrame:
 # --- search-term report -------------------------------------------------------------------
 
 
-def _report_payloads(t: Tables) -> DataFrame:
+def _report_payloads(t: Tables, schema: StructType) -> DataFrame:
     """One term per line item: own brand for flag R, two competitors unless flag N, one of them with variations."""
     flag = F.col("l_returnflag")
 
@@ -168,7 +168,7 @@ def _report_payloads(t: Tables) -> DataFrame:
         F.concat(F.lit("ws-"), F.col("l_linestatus")).alias("brand_id"),
         _document(searchTerms=F.array(term)).alias("payload"),
     )
-    return _payloads(rows, schemas.TERM_REPORT)
+    return _payloads(rows, schema)
 
 
 LINE_BRANDS = """line_brands AS (
@@ -185,7 +185,7 @@ LINE_MEASURES = """l_quantity AS avg_sentiment, l_tax AS avg_rank, l_linenumber:
   CASE WHEN l_tax > 0 THEN l_shipdate END AS last_snapshot_at, name AS brand_name, own AS is_own_brand,
   score AS visibility_score, {LINE_MEASURES} FROM line_brands""")
 def flatten_snapshots(t: Tables) -> DataFrame:
-    return flatten.brand_snapshots(_report_payloads(t))
+    return flatten.brand_snapshots(_report_payloads(t, schemas.SNAPSHOTS))
 
 
 @query(f"""WITH {LINE_BRANDS} SELECT coalesce(CASE WHEN l_tax > 0 THEN l_shipdate END, DATE '2026-01-02')::DATE
@@ -197,14 +197,14 @@ def flatten_snapshots(t: Tables) -> DataFrame:
   CASE WHEN l_tax > 0 THEN l_shipdate END AS last_snapshot_at FROM line_brands""")
 def flatten_dated_snapshots(t: Tables) -> DataFrame:
     """Snapshots for the load-by-date tables: day and week filled in, unnamed brands named."""
-    return flatten.dated_brand_snapshots(_report_payloads(t), F.lit("2026-01-02").cast("date"))
+    return flatten.dated_brand_snapshots(_report_payloads(t, schemas.SNAPSHOTS), F.lit("2026-01-02").cast("date"))
 
 
 @query("""SELECT 'ws-' || l_linestatus AS brand_id, max(CASE WHEN l_tax > 0 THEN l_shipdate END) AS payload_max
 FROM lineitem GROUP BY ALL""")
 def payload_marks(t: Tables) -> DataFrame:
     """Newest snapshot time in each brand's payloads."""
-    return flatten.latest_payload_snapshot(_report_payloads(t))
+    return flatten.latest_payload_snapshot(_report_payloads(t, schemas.SNAPSHOT_MARKS))
 
 
 VARIATIONS = f"""variations AS (SELECT 'ws-' || l_linestatus AS brand_id, l_orderkey::VARCHAR AS search_term_id,
@@ -216,14 +216,14 @@ VARIATIONS = f"""variations AS (SELECT 'ws-' || l_linestatus AS brand_id, l_orde
 @query(f"WITH {VARIATIONS} SELECT * FROM variations")
 def flatten_variations(t: Tables) -> DataFrame:
     """Spellings listed under each competitor."""
-    return flatten.name_variations(_report_payloads(t))
+    return flatten.name_variations(_report_payloads(t, schemas.VARIATIONS))
 
 
 @query("""SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 'Rival' WHEN 'F' THEN 'Rival' ELSE 'P' END AS brand_name
 FROM orders""")
 def spelling_lookup(t: Tables) -> DataFrame:
     """Variant to canonical name, as found in the payloads, used to normalise names."""
-    spellings = flatten.spelling_map(flatten.name_variations(_report_payloads(t)))
+    spellings = flatten.spelling_map(flatten.name_variations(_report_payloads(t, schemas.VARIATIONS)))
     status = F.col("o_orderstatus")
     found = F.when(status == "O", F.lit("Rvl")).when(status == "F", F.lit("RIVAL")).otherwise(status)
     named = normalise_names(
@@ -246,13 +246,13 @@ def flatten_answers(t: Tables) -> DataFrame:
         searchTermId=F.col("role"), answerTexts=_when(F.col("role") != "system", F.array(answer))
     )
     rows = t.conversations.select(F.lit("ws").alias("brand_id"), _document(searchTerms=F.array(term)).alias("payload"))
-    return flatten.answer_texts(_payloads(rows, schemas.TERM_REPORT))
+    return flatten.answer_texts(_payloads(rows, schemas.ANSWERS))
 
 
 # --- citations ----------------------------------------------------------------------------
 
 
-def _citation_payloads(t: Tables) -> DataFrame:
+def _citation_payloads(t: Tables, schema: StructType) -> DataFrame:
     """Per line item one query with two domains: one with two URLs, one that has only its own count."""
 
     def domain(name: Column, count: Column, urls: Column) -> Column:
@@ -286,7 +286,7 @@ def _citation_payloads(t: Tables) -> DataFrame:
         F.concat(F.lit("ws-"), F.col("l_linestatus")).alias("brand_id"),
         _document(domainSummary=summary, paginationInfo=page).alias("payload"),
     )
-    return _payloads(rows, schemas.CITATIONS)
+    return _payloads(rows, schema)
 
 
 def urls_type():
@@ -307,7 +307,7 @@ CITED = """cited AS (
   CASE WHEN l_returnflag <> 'A' THEN 'prompt ' || l_partkey::VARCHAR ELSE '' END AS query, l_linestatus AS engine,
   domain, url, n AS occurrences FROM cited""")
 def flatten_citations(t: Tables) -> DataFrame:
-    return flatten.citations(_citation_payloads(t))
+    return flatten.citations(_citation_payloads(t, schemas.CITED_URLS))
 
 
 @query("""WITH d AS (
@@ -318,20 +318,20 @@ SELECT 'ws-' || l_linestatus AS brand_id, 'overall' AS scope, NULL::VARCHAR AS m
 UNION ALL SELECT 'ws-' || l_linestatus, 'competitor', l_returnflag, domain, n, url_count FROM d""")
 def flatten_domain_rollups(t: Tables) -> DataFrame:
     """The payload's own top-domain lists."""
-    return flatten.domain_rollups(_citation_payloads(t))
+    return flatten.domain_rollups(_citation_payloads(t, schemas.DOMAIN_ROLLUPS))
 
 
 @query("""SELECT 'ws-' || l_linestatus AS brand_id, l_quantity::BIGINT AS returned_count, l_partkey AS total_count,
   5000::BIGINT AS max_citations, 50::BIGINT AS max_brands FROM lineitem WHERE l_quantity > 45""")
 def capped_citations(t: Tables) -> DataFrame:
     """Citation payloads the sender cut."""
-    return flatten.capped_citations(_citation_payloads(t))
+    return flatten.capped_citations(_citation_payloads(t, schemas.CITATION_PAGES))
 
 
 # --- report timelines ---------------------------------------------------------------------
 
 
-def _timeline_payloads(t: Tables) -> DataFrame:
+def _timeline_payloads(t: Tables, schema: StructType) -> DataFrame:
     """Per event a two-point timeline: in which period depends on the event type; some series are short."""
     later = F.date_format(F.col("ts") + F.expr("interval 7 days"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     stamps = F.array(_iso("ts"), later)
@@ -383,7 +383,7 @@ def _timeline_payloads(t: Tables) -> DataFrame:
         _text("event_id").alias("topic_id"), F.concat(F.lit("Topic "), _text("event_id")).alias("topic_name"),
         payload.alias("payload"),
     )
-    return _payloads(rows, schemas.REPORT)
+    return _payloads(rows, schema)
 
 
 POINTS = """points AS (
@@ -405,7 +405,7 @@ POINTS = """points AS (
 FROM points""")
 def flatten_report(t: Tables) -> DataFrame:
     """Own and competitor timelines; the random row id is left out."""
-    return flatten.report_rows(_timeline_payloads(t)).drop("unique_row_id")
+    return flatten.report_rows(_timeline_payloads(t, schemas.TIMELINES)).drop("unique_row_id")
 
 
 @query(f"""WITH {POINTS} SELECT user_id::VARCHAR AS owning_brand_id, 'e1' AS member_id, 'Engine 1' AS member_name,
@@ -414,7 +414,7 @@ def flatten_report(t: Tables) -> DataFrame:
   moment::DATE AS snapshot_date FROM points WHERE name = 'own'""")
 def flatten_breakdown(t: Tables) -> DataFrame:
     """Own timelines per engine."""
-    return flatten.breakdown_rows(_timeline_payloads(t), "engine").select(
+    return flatten.breakdown_rows(_timeline_payloads(t, schemas.BREAKDOWNS["engine"]), "engine").select(
         "owning_brand_id", "member_id", "member_name", "visibility_score", "mentions", "brand_not_found",
         "snapshot_time", "snapshot_date",
     )
@@ -424,7 +424,7 @@ def flatten_breakdown(t: Tables) -> DataFrame:
   bool_or(pos = 0 AND event_type = 'view') AS brand_not_found FROM points WHERE name = 'own' GROUP BY ALL""")
 def brand_gaps(t: Tables) -> DataFrame:
     """Days on which some snapshot missed the brand."""
-    return flatten.brand_gaps(_timeline_payloads(t))
+    return flatten.brand_gaps(_timeline_payloads(t, schemas.BRAND_GAPS))
 
 
 @query("""SELECT user_id::VARCHAR AS owning_brand_id, event_type AS brand_name, true AS is_own_brand,
@@ -432,7 +432,7 @@ def brand_gaps(t: Tables) -> DataFrame:
   regexp_extract(props, '([0-9]+)', 1)::BIGINT AS appearances FROM events""")
 def competitor_summary(t: Tables) -> DataFrame:
     """Summary of all brands of a report."""
-    return flatten.competitor_summary(_timeline_payloads(t)).select(
+    return flatten.competitor_summary(_timeline_payloads(t, schemas.COMPETITORS)).select(
         "owning_brand_id", "brand_name", "is_own_brand", "latest_value", "trend", "latest_rank", "visibility_score",
         "appearances",
     )

@@ -130,6 +130,53 @@ SENTIMENT = _payload(brandSentiments=ArrayType(_struct(
     webGroundingSentimentByEngine=_ENGINE_SENTIMENT, trainingDataSentimentByEngine=_ENGINE_SENTIMENT,
 )))
 
+# --- parts of payloads --------------------------------------------------------------------
+
+
+def only(kind: DataType, *paths: str) -> DataType:
+    """The parts of a schema that ``paths`` name, in the schema's order.
+
+    Points lead down, also into the entries of lists; a name stands for all that is below it. JSON read
+    with such a schema is skipped over where it is not asked for: neither built nor checked.
+    """
+    if "" in paths:
+        return kind
+    if isinstance(kind, ArrayType):
+        return ArrayType(only(kind.elementType, *paths))
+    below: dict[str, list[str]] = {}
+    for path in paths:
+        name, _, rest = path.partition(".")
+        below.setdefault(name, []).append(rest)
+    unknown = below.keys() - set(kind.names)
+    if unknown:
+        raise KeyError(f"no {sorted(unknown)} in {kind.names}")
+    return _struct(**{f.name: only(f.dataType, *below[f.name]) for f in kind.fields if f.name in below})
+
+
+def _part(payload: StructType, *paths: str) -> StructType:
+    return only(payload, *[f"data.{path}" for path in paths])
+
+
+# What each flattener reads.
+SNAPSHOT_MARKS = _part(TERM_REPORT, "searchTerms.lastSnapshotAt")
+SNAPSHOTS = _part(
+    TERM_REPORT, *[f"searchTerms.{name}" for name in ("searchTermId", "aiSearchEngines", "topic", "lastSnapshotAt")],
+    *[f"searchTerms.{brand}.{name}" for brand in ("ownBrand", "competitors") for name in _MEASURES],
+)
+VARIATIONS = _part(
+    TERM_REPORT, "searchTerms.searchTermId", "searchTerms.competitors.name", "searchTerms.competitors.variations"
+)
+ANSWERS = _part(TERM_REPORT, "searchTerms.searchTermId", "searchTerms.answerTexts")
+CITED_URLS = _part(CITATIONS, "domainSummary.topDomainsByQuery")
+DOMAIN_ROLLUPS = _part(CITATIONS, *[
+    f"domainSummary.topDomains{name}" for name in ("Overall", "ByEngine", "ByOwnBrandCitations", "ByCompetitor")
+])
+CITATION_PAGES = _part(CITATIONS, "paginationInfo")
+TIMELINES = _part(REPORT, "ownBrandMetrics.name", "ownBrandMetrics.historicalData", "competitorTimeSeriesData")
+BREAKDOWNS = {by: _part(REPORT, f"ownBrandMetrics.{by}MetricsData") for by in ("topic", "engine")}
+BRAND_GAPS = _part(REPORT, "ownBrandMetrics.historicalData")
+COMPETITORS = _part(REPORT, "competitorMetrics")
+
 # --- landing tables -----------------------------------------------------------------------
 
 RAW_BRANDS = _table(

@@ -167,3 +167,51 @@ def test_flatteners_do_not_shuffle(spark, plan_of, tmp_path):
     ):
         assert "Exchange" not in plan_of(rows)
     assert {r.brand_id for r in flatten.search_terms(read("search_terms", schemas.SEARCH_TERMS)).collect()} == {"b1", "b2"}
+
+
+def _report_document():
+    return samples.report(["2026-05-04", "2026-05-11"], [10.0, 20.0], {"Rival": [1.0, 2.0]})
+
+
+@pytest.mark.parametrize("whole, part, document, flattened", [
+    (schemas.TERM_REPORT, schemas.SNAPSHOTS, samples.REPORT_B1, flatten.brand_snapshots),
+    (schemas.TERM_REPORT, schemas.SNAPSHOTS, samples.REPORT_B1,
+     lambda p: flatten.dated_brand_snapshots(p, F.lit("2027-01-01").cast("date"))),
+    (schemas.TERM_REPORT, schemas.SNAPSHOT_MARKS, samples.REPORT_B1, flatten.latest_payload_snapshot),
+    (schemas.TERM_REPORT, schemas.VARIATIONS, samples.REPORT_B1, flatten.name_variations),
+    (schemas.TERM_REPORT, schemas.ANSWERS, samples.REPORT_B1, flatten.answer_texts),
+    (schemas.CITATIONS, schemas.CITED_URLS, samples.CITATIONS_B1, flatten.citations),
+    (schemas.CITATIONS, schemas.DOMAIN_ROLLUPS, samples.CITATIONS_B1, flatten.domain_rollups),
+    (schemas.CITATIONS, schemas.CITATION_PAGES, samples.CITATIONS_B1, flatten.capped_citations),
+    (schemas.REPORT, schemas.TIMELINES, None, lambda p: flatten.report_rows(p).drop("unique_row_id")),
+    (schemas.REPORT, schemas.BREAKDOWNS["engine"], None, lambda p: flatten.breakdown_rows(p, "engine")),
+    (schemas.REPORT, schemas.BREAKDOWNS["topic"], None, lambda p: flatten.breakdown_rows(p, "topic")),
+    (schemas.REPORT, schemas.BRAND_GAPS, None, flatten.brand_gaps),
+    (schemas.REPORT, schemas.COMPETITORS, None, flatten.competitor_summary),
+])
+def test_a_part_of_the_schema_gives_the_same_rows(spark, whole, part, document, flattened):
+    document = document or _report_document()
+    more = {"brand_name": "x", "topic_id": "p1", "topic_name": "Loans"} if whole is schemas.REPORT else {}
+    one, other = (flattened(parsed(spark, schema, document, {"data": {}}, **more)) for schema in (whole, part))
+    assert one.schema == other.schema
+    assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+
+
+def test_only():
+    assert schemas.only(schemas.CITATIONS, "data") == schemas.CITATIONS
+    part = schemas.only(schemas.CITATIONS, "data.domainSummary.topDomainsByQuery.engines.engineId", "data.paginationInfo")
+    assert part.simpleString() == (
+        "struct<data:struct<domainSummary:struct<topDomainsByQuery:array<struct<engines:array<struct<engineId:string>>>>>,"
+        "paginationInfo:struct<totalCount:bigint,returnedCount:bigint,citationsCapped:boolean,brandsCapped:boolean,"
+        "maxCitations:bigint,maxBrands:bigint>>>"
+    )
+    with pytest.raises(KeyError):
+        schemas.only(schemas.CITATIONS, "data.nothing")
+
+
+def test_what_is_not_asked_for_is_not_checked(spark):
+    broken = {"data": {**samples.CITATIONS_B1["data"], "paginationInfo": "none"}}
+    whole, part = (parsed(spark, schema, broken) for schema in (schemas.CITATIONS, schemas.CITED_URLS))
+    assert split_corrupt(whole)[0].count() == 0
+    assert flatten.citations(split_corrupt(part)[0]).count() == flatten.citations(
+        parsed(spark, schemas.CITED_URLS, samples.CITATIONS_B1)).count()

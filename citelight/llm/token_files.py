@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ..session import scratch_path, staged
 from .files import new_file, open_at
 from .tokens import in_workers, keep, slices
+from .words import LATIN, Remembered, cut_marks, joined, packed
 
 MAGIC = b"TOKFILE1"
 END_ID = 0
@@ -53,7 +54,7 @@ RANGE_LETTERS = 64
 #: Words that a process remembers in each of its two sets.
 REMEMBERED = 100_000
 #: Text whose distinct words are looked up together.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 
 _HEADER = "<8sI32s"
 _FOOTER = "<QQ8s"
@@ -67,8 +68,11 @@ def _byte_letters() -> dict[int, str]:
 
 
 _LETTERS = _byte_letters()
-_SPACE, _FEED = _LETTERS[32], _LETTERS[10]
-_MARKS = ".,;:!?"
+_FEED = _LETTERS[10]
+#: The same letters by byte, as code points.
+SPELT = np.array([ord(_LETTERS[b]) for b in range(256)], "<u4")
+#: Words that the vocabulary's model takes as they are spelt, after a line feed or not.
+_PLAIN = rf"^\n?[{LATIN}]+$"
 
 
 #: Texts that are encoded whole: special tokens, and white space other than single spaces and line feeds between words.
@@ -95,9 +99,8 @@ class Encoder:
 
     The vocabulary's splitting cuts a text before a single space or line feed between other
     characters, after such a line feed, and between letters and closing marks; what lies between
-    is encoded once and remembered. The distinct words of a slice are looked up once and their ids put together by
-    position. Remembered words are held in two sets: a full younger one becomes the older, which is forgotten, and
-    words found in the older move to the younger, so frequent words stay. Other texts and words go to the tokenizer
+    is encoded once and remembered (see :class:`.words.Remembered`), whatever marks close it. The distinct words of a
+    slice are looked up once and their ids put together by position. Other texts and words go to the tokenizer
     as they are, and so do all texts of a tokenizer that splits otherwise.
     """
 
@@ -107,9 +110,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path) as stream:
             self.fast = _cuts_like_bytes(json.load(stream))
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
+        self.words = Remembered(REMEMBERED)
+        self.marks: dict[bytes, bytes] = {}
+        self.feed = [t.id for t in self.tokenizer.model.tokenize(_FEED)] if self.fast else []
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -117,39 +120,44 @@ class Encoder:
     def _core(self, letters: str) -> bytes:
         return array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
 
-    def _mark(self, marks: str) -> bytes:
-        """Ids of a line feed or closing marks; only short ones are remembered, which are few."""
+    def _mark(self, marks: bytes) -> bytes:
+        """Ids of closing marks; only short ones are remembered, which are few."""
         if len(marks) > 3:
-            return self._core(marks)
+            return self._core(marks.decode())
         if marks not in self.marks:
-            self.marks[marks] = self._core(marks)
+            self.marks[marks] = self._core(marks.decode())
         return self.marks[marks]
 
-    def _word(self, word: str) -> bytes:
-        """A word after a space or, if it begins with one, after a line feed."""
-        plain = word[1:] if word[0] == "\n" else word
-        core = plain.rstrip(_MARKS)
-        # Letters of the Latin blocks are letters in every version of Unicode.
-        if core.isalpha() and (core.isascii() or max(core) < "\u0250"):
-            letters = core if core.isascii() else core.encode().decode("latin-1").translate(_LETTERS)
-            before, lead = (self._mark(_FEED), "") if plain is not word else (b"", _SPACE)
-            tail = plain[len(core):]
-            known = self.words.get(core) if tail and lead else None
-            return before + (known or self._core(lead + letters)) + (self._mark(tail) if tail else b"")
-        return self.whole(word if plain is not word else " " + word)
-
-    def _known(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct words, each after a space or line feed."""
-        own = list(map(self.words.get, words))
-        missing = [k for k, ids in enumerate(own) if ids is None]
-        if len(self.words) + len(missing) > REMEMBERED:
-            self.older, self.words = self.words, {w: ids for w, ids in zip(words, own) if ids is not None}
-        for k in missing:
-            own[k] = self.older.get(words[k])
-        for k in sorted((k for k in missing if own[k] is None), key=lambda k: words[k]):
-            own[k] = self._word(words[k])
-        self.words.update((words[k], own[k]) for k in missing)
-        return own
+    def _new(self, words: pa.Array) -> pa.Array:
+        """Ids of words, each after a space or, if it begins with one, after a line feed."""
+        plain = pc.match_substring_regex(words, _PLAIN)
+        fed = pc.starts_with(words, "\n")
+        spaced = pc.if_else(fed, words, pc.binary_join_element_wise(pa.scalar(""), words, pa.scalar(" ")))
+        made = []
+        for chosen, encode in ((plain, self._plain), (pc.invert(plain), self._odd)):
+            made.append(encode(spaced.filter(chosen)))
+        places = np.empty(len(words), np.int64)
+        of_plain = plain.to_numpy(zero_copy_only=False)
+        places[of_plain] = np.arange(of_plain.sum())
+        places[~of_plain] = np.arange(of_plain.sum(), len(words))
+        return pa.concat_arrays(made).take(pa.array(places))
+
+    def _plain(self, words: pa.Array) -> pa.Array:
+        """Ids of letters after a space or line feed, by the vocabulary's model."""
+        order = pc.array_sort_indices(words)  # similar words follow each other
+        letters = SPELT[np.frombuffer("\0".join(words.take(order).to_pylist()).encode(), np.uint8)]
+        tokenize, feed = self.tokenizer.model.tokenize, self.feed
+        rows = [
+            [t.id for t in tokenize(word)] if word[0] != _FEED else feed + [t.id for t in tokenize(word[1:])]
+            for word in (letters.tobytes().decode("utf-32-le").split(_LETTERS[0]) if len(words) else [])
+        ]
+        back = np.empty(len(rows), np.int64)
+        back[order.to_numpy()] = np.arange(len(rows))
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        return packed(4 * sizes, array("I", chain.from_iterable(rows))).take(pa.array(back))
+
+    def _odd(self, words: pa.Array) -> pa.Array:
+        return pa.array(map(self.whole, words.to_pylist()), pa.large_binary())
 
     def batch(self, texts: pa.Array) -> list[bytes]:
         """Ids of every text of a slice; none for a null text."""
@@ -159,20 +167,16 @@ class Encoder:
         odd = pc.match_substring_regex(texts, _ODD)
         split = pc.split_pattern(pc.replace_substring(texts.filter(pc.invert(odd)), "\n", " \n"), " ")
         coded = split.flatten().dictionary_encode()
-        own = self._known(coded.dictionary.to_pylist())
-        flat = np.frombuffer(b"".join(own), "<u4")
-        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
-        code = coded.indices.to_numpy()
+        words, marks = cut_marks(coded.dictionary, _PLAIN)
+        words, marks = words.dictionary_encode(), marks.dictionary_encode()
+        own = self.words.ids(words.dictionary, self._new).take(words.indices)
+        after = pa.array(map(self._mark, marks.dictionary.to_pylist()), pa.large_binary()).take(marks.indices)
         lengths = split.value_lengths().to_numpy()
-        first = np.cumsum(lengths) - lengths
-        counts = sizes[code]
-        counts[first] = 0  # a text's first word follows nothing
-        after = np.cumsum(counts)
-        shift = (np.cumsum(sizes) - sizes)[code] - (after - counts)
-        found = flat[np.repeat(shift, counts) + np.arange(int(after[-1]) if len(after) else 0)].tobytes()
-        ends = (4 * np.r_[0, after][np.cumsum(lengths)]).tolist()
+        first = np.zeros(len(coded), bool)
+        first[np.cumsum(lengths) - lengths] = True  # a text's first word follows nothing
+        codes = pc.if_else(pa.array(first), pa.scalar(None, pa.int32()), coded.indices)
         opening = iter(pc.list_element(split, 0).to_pylist())
-        pieces = iter([found[a:b] for a, b in zip([0, *ends], ends)])
+        pieces = iter(joined(pc.binary_join_element_wise(own, after, pa.scalar(b"", pa.large_binary())), codes, lengths))
         return [
             self.whole(text) if whole else self.whole(next(opening)) + next(pieces)
             for text, whole in zip(texts.to_pylist(), odd.to_pylist())

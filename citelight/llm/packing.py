@@ -28,6 +28,7 @@ from __future__ import annotations
 import json
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,9 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import staged
-from .token_files import _LETTERS
+from .token_files import _LETTERS, SPELT
 from .tokens import bounded, slices
+from .words import Known, Remembered, cut_marks, joined, packed
 
 CAPACITY = 2048
 END_ID = 0
@@ -50,12 +52,12 @@ REFIT = 64
 #: Fillings of one sequence that are looked at, and steps of looking for them.
 FILLINGS = 8
 STEPS = 2_000
-#: Marks that are tokens of their own after a word.
-_MARKS = b".,;:!?"
+#: Words whose letters stay below U+0180 in lower case; capital A-Z are small before.
+_PLAIN = r"^[a-z\x{aa}\x{b5}\x{ba}\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{17f}]+$"
 #: Text whose distinct words are looked up together.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 #: Words remembered by a process: those met lately, and those met before them.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 
 
 # --- ids ----------------------------------------------------------------------------------
@@ -64,9 +66,8 @@ class WordEncoder:
     """Ids of texts, for tokenizers that drop white space and never join what it parts.
 
     Texts are cut at ASCII spaces, the distinct words of a slice are looked up, and their ids put together
-    by position. A word is encoded once and remembered in one of two sets. When the younger is full it becomes the older
-    one, which is forgotten; a word found in the older moves to the younger, so frequent words always
-    stay. Whether a tokenizer parts words is read from its file; others get whole texts.
+    by position. A word without its closing marks is encoded once and remembered (see :class:`.words.Remembered`).
+    Whether a tokenizer parts words is read from its file; others get whole texts.
     """
 
     def __init__(self, path: str):
@@ -75,48 +76,64 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path) as stream:
             self.parts = _parts_words(json.load(stream))
+        self.words = Remembered(REMEMBERED)
         self.marks: dict[bytes, bytes] = {}
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def _letters(self, letters: str) -> bytes:
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
-
-    def _encoded(self, words: list[bytes]) -> list[bytes]:
-        """Ids of new words: letters by the vocabulary's model, others side by side in one text or one by one."""
-        out: list[bytes] = [b""] * len(words)
-        plain, odd = [], []
-        for k, word in enumerate(words):
-            core = word.rstrip(_MARKS)
-            if core.isalpha():  # of bytes: ASCII letters alone, which are lower case here
-                out[k] = self.young.get(core) or self._letters(core.decode())
-            elif core.isascii():
-                plain.append((k, word.decode()))
-                continue
-            else:
-                # Latin letters are letters in every version of Unicode and never join with each other.
-                lower = core.decode().lower()
-                if not lower.isalpha() or max(lower) >= "\u0250":
-                    odd.append((k, word.decode()))
-                    continue
-                out[k] = self._letters(lower.encode().decode("latin-1").translate(_LETTERS))
-            if core != word:
-                marks = word[len(core):]
-                if marks not in self.marks:
-                    self.marks[marks] = self._letters(marks.decode())
-                out[k] += self.marks[marks]
-        if plain:
-            made = self.tokenizer.encode(" ".join(text for _, text in plain), add_special_tokens=False)
-            begins = np.cumsum([0, *(len(text) + 1 for _, text in plain)])
-            cuts = np.searchsorted(np.array([o[0] for o in made.offsets], np.int64), begins).tolist()
-            ids = array("I", made.ids).tobytes()
-            for (k, _), a, b in zip(plain, cuts, cuts[1:]):
-                out[k] = ids[4 * a: 4 * b]
-        if odd:
-            made = self.tokenizer.encode_batch([text for _, text in odd], add_special_tokens=False)
-            for (k, _), one in zip(odd, made):
-                out[k] = array("I", one.ids).tobytes()
-        return out
+
+    @property
+    def young(self) -> Known:
+        return self.words.young
+
+    @property
+    def old(self) -> Known:
+        return self.words.old
+
+    def _mark(self, marks: bytes) -> bytes:
+        """Ids of closing marks; only short ones are remembered, which are few."""
+        if marks not in self.marks:
+            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(marks.decode())]).tobytes() if marks else b""
+            if len(marks) > 3:
+                return ids
+            self.marks[marks] = ids
+        return self.marks[marks]
+
+    def _new(self, words: pa.Array) -> pa.Array:
+        """Ids of words: letters by the vocabulary's model, others side by side in one text or one by one."""
+        plain = pc.match_substring_regex(words, _PLAIN)
+        ascii_only = pc.and_not(pc.string_is_ascii(words), plain)
+        other = pc.invert(pc.or_(plain, ascii_only))
+        made, places, at = [], np.empty(len(words), np.int64), 0
+        for chosen, encode in ((plain, self._letters), (ascii_only, self._side_by_side), (other, self._one_by_one)):
+            made.append(encode(words.filter(chosen)))
+            places[chosen.to_numpy(zero_copy_only=False)] = at + np.arange(len(made[-1]))
+            at += len(made[-1])
+        return pa.concat_arrays(made).take(pa.array(places))
+
+    def _letters(self, words: pa.Array) -> pa.Array:
+        """Latin letters are letters in every version of Unicode and never join with each other."""
+        if not len(words):
+            return pa.array([], pa.large_binary())
+        order = pc.array_sort_indices(words)  # similar words follow each other
+        text = "\0".join(words.take(order).to_pylist()).lower()
+        spelt = SPELT[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-32-le")
+        tokenize = self.tokenizer.model.tokenize
+        rows = [[t.id for t in tokenize(word)] for word in spelt.split(_LETTERS[0])]
+        back = np.empty(len(rows), np.int64)
+        back[order.to_numpy()] = np.arange(len(rows))
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        return packed(4 * sizes, array("I", chain.from_iterable(rows))).take(pa.array(back))
+
+    def _side_by_side(self, words: pa.Array) -> pa.Array:
+        if not len(words):
+            return pa.array([], pa.large_binary())
+        texts = words.to_pylist()
+        made = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        begins = np.cumsum([0, *(len(text) + 1 for text in texts)])
+        cuts = np.searchsorted(np.array([o[0] for o in made.offsets], np.int64), begins)
+        return packed(4 * np.diff(cuts), array("I", made.ids))
+
+    def _one_by_one(self, words: pa.Array) -> pa.Array:
+        made = self.tokenizer.encode_batch(words.to_pylist(), add_special_tokens=False)
+        return pa.array([array("I", one.ids).tobytes() for one in made], pa.large_binary())
 
     def ids(self, texts: pa.Array) -> list[bytes]:
         """Little-endian 32-bit ids of every text."""
@@ -124,30 +141,14 @@ class WordEncoder:
             made = self.tokenizer.encode_batch([t or "" for t in texts.to_pylist()], add_special_tokens=False)
             return [array("I", e.ids).tobytes() for e in made]
         # The tokenizer reads capitals as small letters, so a word is looked up in one form.
-        words = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
-        coded = words.flatten().dictionary_encode()
-        distinct = coded.dictionary.cast(pa.binary()).to_pylist()
-        own = list(map(self.young.get, distinct))
-        missing = [k for k, ids in enumerate(own) if ids is None]
-        if len(self.young) + len(missing) > REMEMBERED:
-            self.marks = {}
-            self.old, self.young = self.young, {w: ids for w, ids in zip(distinct, own) if ids is not None}
-        for k, ids in zip(missing, map(self.old.get, [distinct[k] for k in missing])):
-            own[k] = ids
-        fresh = [k for k in missing if own[k] is None]
-        for k, ids in zip(fresh, self._encoded([distinct[k] for k in fresh])):
-            own[k] = ids
-        self.young.update((distinct[k], own[k]) for k in missing)
-        flat = np.frombuffer(b"".join(own), "<u4")
-        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
-        code = coded.indices.to_numpy()
-        counts = sizes[code]
-        after = np.cumsum(counts)
-        total = int(after[-1]) if len(after) else 0
-        shift = (np.cumsum(sizes) - sizes)[code] - (after - counts)
-        found = flat[np.repeat(shift, counts) + np.arange(total)].tobytes()
-        ends = 4 * np.r_[0, after][np.cumsum(words.value_lengths().to_numpy())]
-        return [found[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+        coded = split.flatten().dictionary_encode()
+        words, marks = cut_marks(coded.dictionary, _PLAIN)
+        words, marks = words.dictionary_encode(), marks.dictionary_encode()
+        own = self.words.ids(words.dictionary, self._new).take(words.indices)
+        after = pa.array(map(self._mark, marks.dictionary.to_pylist()), pa.large_binary()).take(marks.indices)
+        whole = pc.binary_join_element_wise(own, after, pa.scalar(b"", pa.large_binary()))
+        return joined(whole, coded.indices, split.value_lengths().to_numpy())
 
 
 def _parts_words(form: dict) -> bool:

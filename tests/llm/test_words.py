@@ -6,7 +6,7 @@ import pyarrow as pa
 from tokenizers import Tokenizer
 
 import public_tokenizers
-from citelight.llm import token_files, words
+from citelight.llm import packing, token_files, words
 
 BYTE_FILE, WORD_FILE = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 
@@ -36,12 +36,24 @@ def test_token_files_encode_a_word_once_whatever_marks_close_it():
     assert counting.given.count(spelt[1:]) == 1  # after a line feed
 
 
+def test_packing_encodes_a_word_once_whatever_marks_close_it():
+    encoder, tokenizer = packing.WordEncoder(WORD_FILE), Tokenizer.from_file(WORD_FILE)
+    encoder.tokenizer = counting = Counting(encoder.tokenizer)
+    texts = ["wéird, Wéird. and WéIRD! or wéird?!", "then wéird;\nwéird: wéird, wéird", "", None]
+    for _ in range(2):
+        assert encoder.ids(pa.array(texts)) == [array("I", tokenizer.encode(t or "").ids).tobytes() for t in texts]
+    assert counting.given.count("wéird".encode().decode("latin-1").translate(token_files._LETTERS)) == 1
+
+
 def test_every_letter_of_the_patterns_is_a_letter():
     import pyarrow.compute as pc
 
     letters = [chr(c) for c in range(1, 0x400)]
     of_files = pc.match_substring_regex(pa.array(letters), token_files._PLAIN).to_pylist()
     assert of_files == [c.isalpha() and c < "ɐ" for c in letters]
+    for c, easy in zip(letters, pc.match_substring_regex(pa.array(letters), packing._PLAIN).to_pylist()):
+        assert not easy or c.isalpha() and len(c.lower()) == 1 and c.lower() < "ɐ"
+
 
 def test_remembered_words_move_to_the_younger_set():
     asked = []

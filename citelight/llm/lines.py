@@ -28,9 +28,11 @@ from .tokens import _powers, bounded, mix, quoted, slices, unused
 
 EDITS = 2
 LEAST = 32
-#: Bytes of the substrings that a line's parity sketch counts, and the sketch's words of 64 bits.
+#: Bytes of the substrings that a line's parity sketches count: one sketch per length, of ``WORDS`` words of 64 bits.
 GRAM = 4
-SKETCH = ["sketch_0", "sketch_1"]
+GRAMS = (1, 2, 3, GRAM)
+WORDS = 2
+SKETCH = [f"sketch_{gram}_{k}" for gram in GRAMS for k in range(WORDS)]
 #: Lines whose keys a task remembers having sent; sending one twice is harmless.
 REMEMBERED = 100_000
 
@@ -114,25 +116,46 @@ def _keyed(edits: int, least: int):
     return keyed
 
 
-def sketches(lines: list[bytes]) -> np.ndarray:
-    """A bit per hash group of a line's ``GRAM``-byte substrings: whether the line has an odd number of them.
+def sketches(lines: list[bytes], gram: int = GRAM) -> np.ndarray:
+    """A bit per hash group of a line's ``gram``-byte substrings: whether the line has an odd number of them.
 
-    An edit touches at most ``GRAM`` substrings before and as many after, each flipping one bit.
+    An edit touches at most ``gram`` substrings before and as many after, each flipping one bit.
     """
-    out = np.zeros((len(lines), len(SKETCH)), np.uint64)
+    out = np.zeros((len(lines), WORDS), np.uint64)
     data = np.frombuffer(b"".join(lines), np.uint8)
-    owner = np.repeat(np.arange(len(lines)), [len(x) for x in lines])
-    if len(data) >= GRAM:
-        gram = np.zeros(len(data) - GRAM + 1, np.uint64)
-        for k in range(GRAM):
-            gram = gram * np.uint64(257) + data[k: len(data) - GRAM + 1 + k]
-        inside = owner[GRAM - 1:] == owner[: len(owner) - GRAM + 1]
-        group = mix(gram[inside]) >> np.uint64(57)
-        place = (owner[GRAM - 1:][inside], (group >> np.uint64(6)).astype(np.int64))
-        np.bitwise_xor.at(out, place, np.uint64(1) << (group & np.uint64(63)))
+    sizes = np.array([len(x) for x in lines], np.int64)
+    first = np.cumsum(sizes) - sizes
+    if len(data) >= gram:
+        value = np.zeros(len(data) - gram + 1, np.uint64)
+        for k in range(gram):
+            value = value * np.uint64(257) + data[k: len(data) - gram + 1 + k]
+        group = mix(value) >> np.uint64(57)
+        bit = np.uint64(1) << (group & np.uint64(63))
+        # Substrings that begin in one line and end in the next are left out.
+        ends = np.minimum(first + np.maximum(sizes - gram + 1, 0), len(group))
+        starts = np.minimum(first, ends)
+        for k in range(WORDS):
+            parity = np.r_[np.uint64(0), np.bitwise_xor.accumulate(np.where(group >> np.uint64(6) == k, bit, np.uint64(0)))]
+            out[:, k] = parity[ends] ^ parity[starts]
     return out.view(np.int64)
 
 
+def plausible(edits: int) -> str:
+    """What the sketches of two lines (suffixes _a and _b) within ``edits`` edits satisfy."""
+    return " AND ".join(
+        "(" + " + ".join(f"bit_count(sketch_{gram}_{k}_a ^ sketch_{gram}_{k}_b)" for k in range(WORDS)) + f") <= {2 * gram * edits}"
+        for gram in GRAMS
+    )
+
+
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "text", 1 << 18):
+            lines = part.column("text").to_pylist()
+            words = [pa.array(w) for gram in GRAMS for w in np.ascontiguousarray(sketches(lines, gram).T)]
+            yield pa.RecordBatch.from_arrays([part.column("node"), part.column("text"), *words], ["node", "text", *SKETCH])
+
+
 def _texts(least: int):
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
@@ -145,10 +168,8 @@ def _texts(least: int):
                 if len(sent) > REMEMBERED:
                     sent.clear()
                 sent.update(own)
-                words = [pa.array(w) for w in np.ascontiguousarray(sketches(list(own.values())).T)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(own), pa.int64()), pa.array(list(own.values()), pa.binary()), *words],
-                    ["node", "text", *SKETCH],
+                    [pa.array(list(own), pa.int64()), pa.array(list(own.values()), pa.binary())], ["node", "text"]
                 )
 
     return texts
@@ -234,19 +255,22 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST) ->
     texts = rows.select("text")
 
     def load(wanted: DataFrame) -> DataFrame:
-        own = bounded(texts).mapInArrow(_texts(least), "node long, text binary, sketch_0 long, sketch_1 long").join(wanted, "node", "left_semi")
-        return own.dropDuplicates(["node"])
+        own = bounded(texts).mapInArrow(_texts(least), "node long, text binary").join(wanted, "node", "left_semi")
+        # Only lines that share a key with others are sketched.
+        schema = "node long, text binary, " + ", ".join(f"{word} long" for word in SKETCH)
+        return bounded(own.dropDuplicates(["node"])).mapInArrow(_sketched, schema)
 
     def verify(pairs: DataFrame, held: DataFrame) -> DataFrame:
-        both = pairs.join(held.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
-            held.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
-        )
-        near = both.where(F.abs(F.length("text_a") - F.length("text_b")) <= edits)
+        both = pairs
+        for end in "ab":
+            sketch = [F.col(word).alias(f"{word}_{end}") for word in SKETCH]
+            both = both.join(held.select(F.col("node").alias(end), F.col("text").alias(f"text_{end}"), *sketch), end)
+        near = both.where(F.abs(F.length("text_a") - F.length("text_b")) <= edits).where(plausible(edits))
+        near = near.select("a", "b", "text_a", "text_b")
         return bounded(near).mapInArrow(_comparer(edits), "a long, b long")
 
     keys = bounded(texts).mapInArrow(_keyed(edits, least), "key long, node long")
-    differ = " + ".join(f"bit_count({word}_a ^ {word}_b)" for word in SKETCH)
-    linked = components(link_through(keys, load, verify, None, f"{differ} <= {2 * GRAM * edits}", SKETCH))
+    linked = components(link_through(keys, load, verify, None, plausible(edits), SKETCH))
     # One row per place of a line that has another place or a near line.
     counts = places.groupBy("node").agg(F.count("*").alias("n"))
     repeated = counts.join(linked, "node", "left").where("n > 1 OR component IS NOT NULL").select(
